@@ -13,7 +13,6 @@ from tablescout.operators.catalog import deficit_table
 from tablescout.operators.grouping import attach, best_row, top_k
 from tablescout.operators.splits import bucket
 
-ONE = F.lit(1)
 
 
 def _variant(kind: str, order: Column | int, value: Column) -> Column:
@@ -106,7 +105,7 @@ def lexicon_synthesis(base: DataFrame, lexicon: DataFrame | None = None, target:
                       share: float = V.LEXICON_SHARE) -> DataFrame:
     """New lexicon forms per entity up to `target`, at most `share` of the base in total."""
     lexicon = lexicon if lexicon is not None else lexicon_rows(base.sparkSession)
-    have = base.groupBy(F.lower(F.trim("entity")).alias("entity")).agg(F.count(ONE).alias("have"))
+    have = base.groupBy(F.lower(F.trim("entity")).alias("entity")).agg(F.count("*").alias("have"))
     made = (lexicon.withColumn("v", F.explode(lexicon_variants(F.col("term"))))
             .select("entity", "e_ord", "t_ord", "v.v_ord", F.trim("v.name").alias("name"))
             .withColumn("light", T.normalize_light("name")).filter("light <> ''"))
@@ -119,7 +118,7 @@ def lexicon_synthesis(base: DataFrame, lexicon: DataFrame | None = None, target:
     fresh = once.join(known, "light", "left_anti").join(have, "entity", "left")
     picked = (top_k(fresh, ["entity"], [F.asc("t_ord"), F.asc("v_ord")], target)
               .filter(F.col("rn") <= F.greatest(F.lit(target) - F.coalesce("have", F.lit(0)), F.lit(0))))
-    total = base.agg(F.floor(F.count(ONE) * F.lit(share)).alias("cap"))
+    total = base.agg(F.floor(F.count("*") * F.lit(share)).alias("cap"))
     # at most lexicon size rows: a single ordered window is bounded
     from pyspark.sql import Window as W
     capped = attach(picked.withColumn("n", F.row_number().over(W.orderBy("e_ord", "t_ord", "v_ord"))), total)
@@ -135,7 +134,7 @@ def upsample_rare(rows: DataFrame, text: str, label: str, weight: str,
     bounded. Child i copies row (i mod n) and varies spaces, underscores and a
     trailing number, inheriting its weight.
     """
-    small = rows.groupBy(label).agg(F.count(ONE).alias("n")).filter(F.col("n") < target)
+    small = rows.groupBy(label).agg(F.count("*").alias("n")).filter(F.col("n") < target)
     pool = top_k(rows.select(label, text, weight).join(small, label), [label],
                  [F.asc(text), F.asc(weight)], target)
     slots = (small.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(target) - F.col("n") - 1)))

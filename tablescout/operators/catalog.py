@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tablescout.functions import rules as R, scores as S, text as T, vocabulary as V
 from tablescout.operators.grouping import attach, first_values, most_common
 
-ONE = F.lit(1)
 
 
 def name_catalog(rows: DataFrame, name: str = "name", pii: str = "pii",
@@ -20,7 +19,7 @@ def name_catalog(rows: DataFrame, name: str = "name", pii: str = "pii",
     """
     g = (rows.filter(F.col(name).isNotNull())
          .groupBy(F.col(name).alias("name"))
-         .agg(F.count(ONE).alias("n_rows"),
+         .agg(F.count("*").alias("n_rows"),
               F.sum(T.truthy(F.col(pii), dialect).cast("long")).alias("n_true")))
     return g.select(
         "name", "n_rows", "n_true",
@@ -41,7 +40,7 @@ def key_rollup(catalog: DataFrame) -> DataFrame:
 def coverage_summary(matches: DataFrame) -> DataFrame:
     """Share of names and of rows per similarity bucket, with mean and median."""
     by = matches.groupBy(S.similarity_bucket(F.col("similarity")).alias("bucket")).agg(
-        F.count(ONE).alias("n"), F.sum("n_rows").alias("rows"))
+        F.count("*").alias("n"), F.sum("n_rows").alias("rows"))
     total = by.agg(F.sum("n").alias("tn"), F.sum("rows").alias("tr"))
     stats = matches.agg(F.round(F.avg("similarity"), 1).alias("mean"),
                         F.round(F.expr("percentile(similarity, 0.5)"), 1).alias("median"))
@@ -68,7 +67,7 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     spot = F.floor((F.col(value) - F.col("lo")) / width).cast("int")
     return (attach(df.select(F.col(value).cast("double").alias(value)), ends)
             .withColumn("bin", F.least(F.when(width > 0, spot).otherwise(F.lit(0)), F.lit(bins - 1)))
-            .groupBy("bin").agg(F.count(ONE).alias("n"), F.min("lo").alias("lo"), F.min("hi").alias("hi"))
+            .groupBy("bin").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.min("hi").alias("hi"))
             .select("bin", F.round(F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins, 6)
                     .alias("lower"), "n"))
 
@@ -84,7 +83,7 @@ def canonical_rollup(mapping: DataFrame) -> DataFrame:
 def deficit_table(rows: DataFrame, cap: int = V.VARIANT_CAP) -> DataFrame:
     """Rows, distinct normal forms, tier and missing examples per entity."""
     g = (rows.filter(F.col("entity").isNotNull()).groupBy("entity")
-         .agg(F.count(ONE).alias("n_total"), F.countDistinct("name_norm").alias("n_distinto_norm")))
+         .agg(F.count("*").alias("n_total"), F.countDistinct("name_norm").alias("n_distinto_norm")))
     tier = R.tier_of(F.col("entity"))
     return g.select("entity", "n_total", "n_distinto_norm", tier.alias("tier"),
                     F.when(tier == "tier1_sin_sinteticos", F.lit(0).cast("long"))
@@ -136,7 +135,7 @@ def mixed_label_families(rows: DataFrame, dialect: str = "gold") -> DataFrame:
     """Normal forms that carry both labels, with sample variants and entities."""
     base = (rows.filter(F.col("name").isNotNull())
             .groupBy("name", F.coalesce("entity", F.lit("")).alias("entity"))
-            .agg(F.count(ONE).alias("n"), F.sum(T.truthy(F.col("pii"), dialect).cast("long")).alias("t"))
+            .agg(F.count("*").alias("n"), F.sum(T.truthy(F.col("pii"), dialect).cast("long")).alias("t"))
             .withColumn("name_norm", T.name_norm("name")))
     g = (base.groupBy("name_norm").agg(F.sum("t").alias("n_true"), F.sum("n").alias("n_total"))
          .withColumn("n_false", F.col("n_total") - F.col("n_true"))
@@ -152,7 +151,7 @@ def mixed_label_families(rows: DataFrame, dialect: str = "gold") -> DataFrame:
 
 def entity_support(rows: DataFrame) -> DataFrame:
     g = rows.groupBy("entity").agg(
-        F.count(ONE).alias("n_filas"), F.countDistinct("name").alias("n_names"),
+        F.count("*").alias("n_filas"), F.countDistinct("name").alias("n_names"),
         F.countDistinct("group_id").alias("n_groups"))
     risk = (F.when(F.col("n_groups") < 5, F.lit("CRITICO(<5)"))
             .when(F.col("n_groups") <= 10, F.lit("BAJO(5-10)")).otherwise(F.lit("ok")))
@@ -161,7 +160,7 @@ def entity_support(rows: DataFrame) -> DataFrame:
 
 def contingency(rows: DataFrame, left: str, right: str, missing: str = "(sin_canon)") -> DataFrame:
     return (rows.groupBy(left, F.coalesce(F.col(right), F.lit(missing)).alias(right))
-            .agg(F.count(ONE).alias("n")))
+            .agg(F.count("*").alias("n")))
 
 
 def dominant_target(rows: DataFrame, left: str, right: str) -> DataFrame:
@@ -177,7 +176,7 @@ def dominant_target(rows: DataFrame, left: str, right: str) -> DataFrame:
 def clustering_agreement(rows: DataFrame, truth: str, found: str) -> DataFrame:
     """Homogeneity, completeness and V-measure from the contingency table."""
     t = (rows.filter(F.col(truth).isNotNull() & F.col(found).isNotNull())
-         .groupBy(truth, found).agg(F.count(ONE).cast("double").alias("n")))
+         .groupBy(truth, found).agg(F.count("*").cast("double").alias("n")))
     by = lambda c: t.groupBy(c).agg(F.sum("n").alias("m"))
     total = t.agg(F.sum("n").alias("N"))
     entropy = lambda d, out: (attach(d, total).agg(
@@ -200,7 +199,7 @@ def pool_candidates(pool: DataFrame, example_chars: int = 300) -> DataFrame:
     desc = F.trim(F.coalesce("description", F.lit("")))
     usable = ~desc.isin("", "nan", "None")
     base = pool.groupBy("name").agg(
-        F.count(ONE).alias("n_filas"),
+        F.count("*").alias("n_filas"),
         F.coalesce(F.substring(F.min(F.when(usable, F.col("description"))), 1, example_chars),
                    F.lit("")).alias("desc_ejemplo"))
     typed = pool.select("name", "dataset", F.coalesce("type", F.lit("")).alias("type"))
@@ -213,7 +212,7 @@ def low_confidence_names(scored: DataFrame, threshold: float = V.ENTITY_THRESHOL
                          limit: int = V.RESCUE_ROUND_TOP) -> DataFrame:
     """The names with the lowest entity confidence and their usual prediction."""
     low = scored.filter(F.coalesce("prob_entity", F.lit(1.0)) < threshold)
-    g = low.groupBy("name").agg(F.count(ONE).alias("n_filas"), F.min("prob_entity").alias("prob_min"))
+    g = low.groupBy("name").agg(F.count("*").alias("n_filas"), F.min("prob_entity").alias("prob_min"))
     worst = g.orderBy("prob_min", "name").limit(limit)
     # at most `limit` names reach the second aggregate
     modal = most_common(low.join(F.broadcast(worst.select("name")), "name", "left_semi"),
@@ -229,7 +228,7 @@ def class_support(rows: DataFrame, target: str, minimum: int, merge_into: str |
     Spark's own size check (autoBroadcastJoinThreshold).
     """
     rows = rows.filter(F.col(target).isNotNull())
-    counts = rows.groupBy(target).agg(F.count(ONE).alias("_support"))
+    counts = rows.groupBy(target).agg(F.count("*").alias("_support"))
     joined = rows.join(counts, target)
     if merge_into is not None:
         return joined.withColumn(target, F.when(F.col("_support") < minimum, F.lit(merge_into))
@@ -248,7 +247,7 @@ def flip_counts(df: DataFrame) -> DataFrame:
     was = F.upper(T.text("pii")) == "TRUE"
     now = F.col("pii_final")
     return df.groupBy("label_source").agg(
-        F.count(ONE).alias("n"),
+        F.count("*").alias("n"),
         F.sum((was & F.col("has_name") & ~now).cast("long")).alias("true_to_false"),
         F.sum((~was & F.col("has_name") & now).cast("long")).alias("false_to_true")).select(
         "label_source", "n", F.coalesce("true_to_false", F.lit(0)).alias("true_to_false"),
@@ -258,13 +257,13 @@ def flip_counts(df: DataFrame) -> DataFrame:
 def source_report(rows: DataFrame) -> DataFrame:
     """Row count and mean weight per (source, entity)."""
     return rows.groupBy("label_source", "entity").agg(
-        F.count(ONE).alias("n"), F.round(F.avg("w"), 6).alias("w_mean"))
+        F.count("*").alias("n"), F.round(F.avg("w"), 6).alias("w_mean"))
 
 
 def group_labels(rows: DataFrame, group: str, label: str, entity: str | None = None) -> DataFrame:
     """Mean, max, size, majority (and modal entity) per group."""
     g = rows.groupBy(group).agg(
-        F.avg(label).alias("y_mean"), F.max(label).alias("y_max"), F.count(ONE).alias("n"))
+        F.avg(label).alias("y_mean"), F.max(label).alias("y_max"), F.count("*").alias("n"))
     g = g.withColumn("majority", (F.col("y_mean") >= 0.5).cast("int"))
     if entity is None:
         return g
@@ -275,8 +274,8 @@ def vocabulary_gap(known: DataFrame, seen: DataFrame, col: str) -> DataFrame:
     """How much of the second vocabulary the first one has never seen."""
     vs, vb = known.select(col).distinct(), seen.select(col).distinct()
     flagged = vb.join(vs.withColumn("_in", F.lit(1)), col, "left")
-    sizes = vs.agg(F.count(ONE).alias("known"))
-    counts = flagged.agg(F.count(ONE).alias("seen"),
+    sizes = vs.agg(F.count("*").alias("known"))
+    counts = flagged.agg(F.count("*").alias("seen"),
                          F.sum(F.col("_in").isNull().cast("long")).alias("oov"))
     return (attach(counts, sizes)
             .select("known", "seen", "oov",
@@ -286,25 +285,25 @@ def vocabulary_gap(known: DataFrame, seen: DataFrame, col: str) -> DataFrame:
 def exemplars(members: DataFrame) -> DataFrame:
     """Size of each (entity, cluster) and its most frequent name."""
     g = members.groupBy("entity", "cluster").agg(
-        F.count(ONE).alias("n"),
+        F.count("*").alias("n"),
         F.min(F.struct((-F.col("n_rows")).alias("m"), F.col("name").alias("v"))).alias("b"))
     return g.select("entity", "cluster", "n", F.col("b.v").alias("exemplar"))
 
 
 def scan_summary(scored: DataFrame, table: str = "tabla", pii: str = "pii") -> DataFrame:
     return scored.groupBy(table).agg(
-        F.count(ONE).alias("n_columns"), F.sum(F.col(pii).cast("long")).alias("n_pii"),
+        F.count("*").alias("n_columns"), F.sum(F.col(pii).cast("long")).alias("n_pii"),
         F.round(F.avg(F.col(pii).cast("double")), 3).alias("pii_rate"))
 
 
 def top_categories(rows: DataFrame, col: str, n: int) -> DataFrame:
     """The n most frequent values; ties in value order."""
     return (rows.groupBy(F.coalesce(F.col(col), F.lit("")).alias(col))
-            .agg(F.count(ONE).alias("n")).orderBy(F.desc("n"), col).limit(n))
+            .agg(F.count("*").alias("n")).orderBy(F.desc("n"), col).limit(n))
 
 
 def agreement_by(rows: DataFrame, key: str, left: str, right: str, target: float) -> DataFrame:
     """Share of equal labels per key against a target (second labelling pass)."""
     share = F.avg(F.coalesce(F.col(left) == F.col(right), F.lit(False)).cast("double"))
-    return rows.groupBy(key).agg(F.count(ONE).alias("n"), F.round(share, 6).alias("consistency"),
+    return rows.groupBy(key).agg(F.count("*").alias("n"), F.round(share, 6).alias("consistency"),
                                  (share >= target).alias("pass"))

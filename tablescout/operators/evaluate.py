@@ -13,13 +13,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tablescout.functions import vocabulary as V
 from tablescout.operators.grouping import attach
 
-ONE = F.lit(1)
 SLICES = 200
 
 
 def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     return df.groupBy(F.col(score).alias("score")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"), F.count(ONE).alias("n"))
+        F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n"))
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -125,7 +124,7 @@ def confusion(df: DataFrame, score: str, label: str, threshold: float, digits: i
 def recall_by_entity(df: DataFrame, score: str, label: str, entity: str, threshold: float) -> DataFrame:
     hit = (F.col(score) >= threshold).cast("long")
     return df.filter(F.col(label) == 1).groupBy(entity).agg(
-        F.count(ONE).alias("n"), F.round(F.avg(hit.cast("double")), 6).alias("recall"))
+        F.count("*").alias("n"), F.round(F.avg(hit.cast("double")), 6).alias("recall"))
 
 
 def gate_recall(df: DataFrame, score: str, label: str, entity: str, threshold: float,
@@ -141,7 +140,7 @@ def gate_recall(df: DataFrame, score: str, label: str, entity: str, threshold: f
 
 def class_metrics(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """Support, precision, recall and F1 per class; absent ratios count as 0."""
-    pairs = df.groupBy(F.col(truth).alias("t"), F.col(pred).alias("p")).agg(F.count(ONE).alias("n"))
+    pairs = df.groupBy(F.col(truth).alias("t"), F.col(pred).alias("p")).agg(F.count("*").alias("n"))
     cells = pairs.select(F.explode(F.array(
         F.struct(F.col("t").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"),
                  F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0).alias("tp")),
@@ -158,7 +157,7 @@ def class_metrics(df: DataFrame, truth: str, pred: str) -> DataFrame:
 def macro_metrics(df: DataFrame, truth: str, pred: str) -> DataFrame:
     per = class_metrics(df, truth, pred)
     return per.agg(F.round(F.avg("f1"), 6).alias("macro_f1"), F.round(F.avg("recall"), 6).alias("macro_recall"),
-                   F.round(F.sum("tp") / F.sum("support"), 6).alias("accuracy"), F.count(ONE).alias("n_classes"))
+                   F.round(F.sum("tp") / F.sum("support"), 6).alias("accuracy"), F.count("*").alias("n_classes"))
 
 
 def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -216,7 +215,7 @@ def compare_modes(df: DataFrame, mode: str, score: str, label: str, threshold: f
     """Recall, F1 and best F2 per value of `mode` (for example masked / intact)."""
     hit = F.col("score") >= threshold
     counts = df.groupBy(mode, F.col(score).alias("score")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"), F.count(ONE).alias("n"))
+        F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n"))
     fixed = counts.groupBy(mode).agg(F.sum("pos").alias("p"), F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
                                      F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("h"))
     rates = rate_columns(F.col("tp"), F.col("h") - F.col("tp"), F.col("p") - F.col("tp"))

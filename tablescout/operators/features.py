@@ -8,7 +8,6 @@ from tablescout.operators.catalog import top_categories
 from tablescout.operators.grouping import attach
 from tablescout.operators.splits import bucket
 
-ONE = F.lit(1)
 
 
 def _smoothed(sy: Column, sw: Column, n: Column, prior: Column, alpha: float) -> Column:
@@ -19,7 +18,7 @@ def target_encoding(rows: DataFrame, key: str, y: str, w: str, alpha: float = 10
     """Smoothed weighted mean per key: (mean*n + alpha*global) / (n + alpha)."""
     yw = F.col(y) * F.col(w)
     prior = rows.agg((F.sum(yw) / F.sum(w)).alias("g"))
-    per = rows.groupBy(key).agg(F.sum(yw).alias("sy"), F.sum(w).alias("sw"), F.count(ONE).alias("n"))
+    per = rows.groupBy(key).agg(F.sum(yw).alias("sy"), F.sum(w).alias("sw"), F.count("*").alias("n"))
     return attach(per, prior).select(
         key, "n", _smoothed(F.col("sy"), F.col("sw"), F.col("n"), F.col("g"), alpha).alias("te"))
 
@@ -33,7 +32,7 @@ def target_encoding_oof(rows: DataFrame, key: str, y: str, w: str, fold: str,
     """
     yw = F.col(y) * F.col(w)
     prior = rows.agg((F.sum(yw) / F.sum(w)).alias("g"))
-    part = rows.groupBy(key, fold).agg(F.sum(yw).alias("fy"), F.sum(w).alias("fw"), F.count(ONE).alias("fn"))
+    part = rows.groupBy(key, fold).agg(F.sum(yw).alias("fy"), F.sum(w).alias("fw"), F.count("*").alias("fn"))
     total = part.groupBy(key).agg(F.sum("fy").alias("ty"), F.sum("fw").alias("tw"), F.sum("fn").alias("tn"))
     n = F.col("tn") - F.col("fn")
     value = F.when(n > 0, _smoothed(F.col("ty") - F.col("fy"), F.col("tw") - F.col("fw"), n, F.col("g"), alpha)
@@ -74,6 +73,6 @@ def imbalance_weight(rows: DataFrame, y: str, w: str | None = None) -> DataFrame
 
 def balanced_weights(rows: DataFrame, label: str) -> DataFrame:
     """(label, class_weight) = rows / (classes * rows of the class)."""
-    per = rows.groupBy(label).agg(F.count(ONE).alias("n"))
-    total = per.agg(F.sum("n").alias("N"), F.count(ONE).alias("K"))
+    per = rows.groupBy(label).agg(F.count("*").alias("n"))
+    total = per.agg(F.sum("n").alias("N"), F.count("*").alias("K"))
     return attach(per, total).select(label, (F.col("N") / (F.col("K") * F.col("n"))).alias("class_weight"))

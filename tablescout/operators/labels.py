@@ -10,7 +10,6 @@ from tablescout.functions import rules as R, scores as S, text as T, vocabulary
 from tablescout.operators.grouping import best_row, top_k
 from tablescout.operators.textsim import nearest_neighbours
 
-ONE = F.lit(1)
 
 
 def neighbour_table(pool_keys: DataFrame, gold_keys: DataFrame, floor: float = 0.5,

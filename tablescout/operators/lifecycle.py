@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablescout.functions import dates as D, vocabulary as V
 from tablescout.operators.grouping import attach
 
-ONE = F.lit(1)
 
 
 def last_runs(jobs: DataFrame) -> DataFrame:
@@ -15,7 +14,7 @@ def last_runs(jobs: DataFrame) -> DataFrame:
     ms = F.when(F.col("def.initiationTimestamp") != 0, F.col("def.initiationTimestamp"))
     return (jobs.groupBy("projectKey")
             .agg(F.max(D.from_millis(F.coalesce(ms, F.col("startTime")))).alias("ultima_ejecucion"),
-                 F.count(ONE).alias("n_jobs")))
+                 F.count("*").alias("n_jobs")))
 
 
 def last_commits(timeline: DataFrame) -> DataFrame:
@@ -131,14 +130,14 @@ def activity_histogram(events: DataFrame, ref: Column, axis: str = "30d") -> Dat
             else F.date_sub(F.to_date(ref), i * 30))
     points = spark.range(12).select(i.alias("back"), F.date_format(step, "yyyy-MM").alias("mes"),
                                     F.date_format(step, "MMM").alias("etiqueta"))
-    counts = events.groupBy(F.date_format("ts", "yyyy-MM").alias("mes")).agg(F.count(ONE).alias("n"))
+    counts = events.groupBy(F.date_format("ts", "yyyy-MM").alias("mes")).agg(F.count("*").alias("n"))
     return points.join(counts, "mes", "left").select(
         (F.lit(11) - F.col("back")).alias("idx"), "mes", "etiqueta", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def structure_counts(parts: DataFrame) -> DataFrame:
     """Objects per kind with percent of the largest kind."""
-    g = parts.groupBy("kind").agg(F.count(ONE).alias("n"))
+    g = parts.groupBy("kind").agg(F.count("*").alias("n"))
     return attach(g, g.agg(F.max("n").alias("m"))).select(
         "kind", "n", F.round(100.0 * F.col("n") / F.greatest("m", F.lit(1))).cast("int").alias("pct_max"))
 
@@ -153,4 +152,4 @@ def in_scope(projects: DataFrame, preserved: DataFrame, depth: DataFrame) -> Dat
 
 def cleanup_breakdown(scope: DataFrame) -> DataFrame:
     return (scope.groupBy(D.idle_bucket(F.col("meses_inactivo")).alias("bucket"))
-            .agg(F.count(ONE).alias("n")).filter("bucket > 0"))
+            .agg(F.count("*").alias("n")).filter("bucket > 0"))

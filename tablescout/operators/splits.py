@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-ONE = F.lit(1)
 SLICES = 256
 
 
@@ -30,7 +29,7 @@ def global_rank(df: DataFrame, strata: list[str], hash_col: str, tie: str, out:
     totals are at most strata x 256 rows.
     """
     sliced = df.withColumn("_s", F.shiftright(F.col(hash_col), 24))
-    totals = sliced.groupBy(*strata, "_s").agg(F.count(ONE).alias("_c"))
+    totals = sliced.groupBy(*strata, "_s").agg(F.count("*").alias("_c"))
     before = W.partitionBy(*strata).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select(*strata, "_s", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_b"))
     local = F.row_number().over(W.partitionBy(*strata, "_s").orderBy(hash_col, tie))
@@ -44,7 +43,7 @@ def stratified_group_split(rows: DataFrame, group: str, label: str, test_share:
               .select(group, (F.col("m") >= 0.5).cast("int").alias("majority"))
               .withColumn("_h", hash32(F.col(group))))
     ranked = global_rank(groups, ["majority"], "_h", group)
-    sizes = groups.groupBy("majority").agg(F.count(ONE).alias("_n"))
+    sizes = groups.groupBy("majority").agg(F.count("*").alias("_n"))
     return (ranked.join(sizes, "majority")
             .withColumn("split", F.when(F.col("rank") <= F.round(F.col("_n") * test_share), F.lit("holdout"))
                         .otherwise(F.lit("train")))
@@ -63,7 +62,7 @@ def slice_guaranteed_split(rows: DataFrame, group: str, label: str, entity: str,
     g = (rows.groupBy(group).agg(F.avg(F.col(label).cast("double")).alias("m"))
          .select(group, (F.col("m") >= 0.5).cast("int").alias("majority")).withColumn("_h", h))
     pairs = rows.filter(F.col(label) == 1).select(entity, group).distinct()
-    per = pairs.groupBy(entity).agg(F.count(ONE).alias("k"),
+    per = pairs.groupBy(entity).agg(F.count("*").alias("k"),
                                     F.min(F.struct(h.alias("h"), F.col(group).alias("g"))).alias("b"))
     out = per.filter("k >= 2").select(F.col("b.g").alias(group)).distinct().withColumn("_va", F.lit(True))
     stay = per.filter("k = 1").select(F.col("b.g").alias(group)).distinct().withColumn("_tr", F.lit(True))
@@ -71,12 +70,12 @@ def slice_guaranteed_split(rows: DataFrame, group: str, label: str, entity: str,
               .withColumn("forced", F.when(F.col("_va"), F.lit("holdout")).when(F.col("_tr"), F.lit("train")))
               .drop("_va", "_tr"))
     from tablescout.operators.grouping import attach
-    stats = tagged.agg(F.count(ONE).alias("_all"),
+    stats = tagged.agg(F.count("*").alias("_all"),
                        F.sum((F.col("forced") == "holdout").cast("long")).alias("_out"),
                        F.sum(F.col("forced").isNull().cast("long")).alias("_free"))
     free = tagged.filter("forced IS NULL")
     ranked = global_rank(free.drop("forced"), ["majority"], "_h", group)
-    sizes = free.groupBy("majority").agg(F.count(ONE).alias("_n"))
+    sizes = free.groupBy("majority").agg(F.count("*").alias("_n"))
     share = F.greatest(F.lit(0.01), F.least(F.lit(0.9), (
         F.round(F.col("_all") * test_share) - F.coalesce("_out", F.lit(0)))
         / F.greatest("_free", F.lit(1))))
@@ -98,7 +97,7 @@ def split_part(rows: DataFrame, groups: DataFrame, group: str, split: str) -> Da
 
 def split_overlap(train: DataFrame, test: DataFrame, group: str) -> DataFrame:
     """Groups present on both sides; must be zero."""
-    return (train.select(group).intersect(test.select(group)).agg(F.count(ONE).alias("overlap")))
+    return (train.select(group).intersect(test.select(group)).agg(F.count("*").alias("overlap")))
 
 
 def fold_of(group: Column, k: int) -> Column:
@@ -117,9 +116,9 @@ def balanced_folds(rows: DataFrame, group: str, k: int) -> DataFrame:
     Sizes repeat heavily, so ranks start from per-size totals instead of one
     global sort; groups of one size are ordered by hash slices.
     """
-    sizes = rows.groupBy(group).agg(F.count(ONE).alias("n")).withColumn("_h", hash32(F.col(group)))
+    sizes = rows.groupBy(group).agg(F.count("*").alias("n")).withColumn("_h", hash32(F.col(group)))
     ranked = global_rank(sizes, ["n"], "_h", group, "_local")
-    per = sizes.groupBy("n").agg(F.count(ONE).alias("_c"))
+    per = sizes.groupBy("n").agg(F.count("*").alias("_c"))
     # distinct group sizes are few: sum of sizes is the row count, so at most sqrt(2 rows)
     larger = W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, -1)
     start = per.select("n", F.coalesce(F.sum("_c").over(larger), F.lit(0)).alias("_b"))

@@ -23,7 +23,6 @@ from tablescout.functions import text as T
 from tablescout.operators.grouping import attach, best_row
 from tablescout.session import cut_lineage
 
-ONE = F.lit(1)
 
 
 def word_grams(word: Column, lo: int, hi: int) -> Column:
@@ -59,18 +58,18 @@ def word_tokens(c: Column, hi: int = 2) -> Column:
 def term_counts(df: DataFrame, key: str, terms: Column) -> DataFrame:
     """(key, term, tf). A key occurs once, so the counting needs no shuffle on it."""
     return (df.select(key, F.explode(terms).alias("term"))
-            .groupBy(key, "term").agg(F.count(ONE).cast("double").alias("tf")))
+            .groupBy(key, "term").agg(F.count("*").cast("double").alias("tf")))
 
 
 def vocabulary(counts: DataFrame, key: str, n_docs: DataFrame, min_df: int = 1,
                max_features: int | None = None) -> DataFrame:
     """(term, df, idf) with idf = ln((1+N)/(1+df)) + 1."""
-    g = counts.groupBy("term").agg(F.count(ONE).alias("df"),
+    g = counts.groupBy("term").agg(F.count("*").alias("df"),
                                    F.sum("tf").alias("total"))
     g = g.filter(F.col("df") >= min_df)
     if max_features is not None:
         g = g.orderBy(F.desc("total"), "term").limit(max_features)
-    return attach(g, n_docs.agg(F.count(ONE).alias("N"))).select(
+    return attach(g, n_docs.agg(F.count("*").alias("N"))).select(
         "term", "df", (F.log((1 + F.col("N")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
@@ -144,7 +143,7 @@ def nearest_neighbours(queries: DataFrame, catalog: DataFrame, text: str = "ligh
         c0.select(F.lit("c").alias("side"), F.col("c").alias("t")))
     both = sides.select(F.concat_ws("\x01", "side", "t").alias("k"), "side", "t")
     counts = (both.select("k", F.explode(char_wb_grams(F.col("t"))).alias("term"))
-              .groupBy("k", "term").agg(F.count(ONE).cast("double").alias("tf")))
+              .groupBy("k", "term").agg(F.count("*").cast("double").alias("tf")))
     w = weighted_terms(counts, vocabulary(counts, "k", both), "k")
     vecs = cut_lineage(
         w.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("df", "term", "w"))).alias("vec"))
@@ -204,7 +203,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str, max_roun
         small = (down.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
                  .unionByName(low2.select("u", F.col("m").alias("v"))).distinct())
         e = cut_lineage(small)
-        stats = e.agg(F.count(ONE).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
+        stats = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
         if (stats.n, stats.h) == fingerprint:
             break
         fingerprint = (stats.n, stats.h)
@@ -227,10 +226,10 @@ def cluster_labels(members: DataFrame, text: str, cluster: str = "component") ->
     The TF-IDF is fitted inside each cluster; a singleton takes its first token.
     """
     docs = members.select(cluster, F.col(text).alias("doc"))
-    sizes = docs.groupBy(cluster).agg(F.count(ONE).alias("size"), F.min("doc").alias("one"))
+    sizes = docs.groupBy(cluster).agg(F.count("*").alias("size"), F.min("doc").alias("one"))
     tf = (docs.select(cluster, "doc", F.explode(word_tokens(F.col("doc"))).alias("term"))
-          .groupBy(cluster, "doc", "term").agg(F.count(ONE).cast("double").alias("tf")))
-    df = tf.groupBy(cluster, "term").agg(F.count(ONE).alias("df"))
+          .groupBy(cluster, "doc", "term").agg(F.count("*").cast("double").alias("tf")))
+    df = tf.groupBy(cluster, "term").agg(F.count("*").alias("df"))
     w = (tf.join(df, [cluster, "term"]).join(sizes.select(cluster, "size"), cluster)
          .withColumn("w", F.col("tf") * (F.log((1 + F.col("size")) / (1 + F.col("df"))) + 1)))
     norm = w.groupBy(cluster, "doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -256,7 +255,7 @@ def token_overlap(names: DataFrame, dictionary: DataFrame, name: str, entry: str
     d = dictionary.select(F.col(entry).alias("d"), words(F.col(entry)).alias("ds")).limit(max_entries)
     hits = (q.select(name, F.size("qs").alias("nq"), F.explode("qs").alias("t"))
             .join(F.broadcast(d.select("d", F.size("ds").alias("nd"), F.explode("ds").alias("t"))), "t")
-            .groupBy(name, "nq", "d", "nd").agg(F.count(ONE).alias("i"))
+            .groupBy(name, "nq", "d", "nd").agg(F.count("*").alias("i"))
             .groupBy(name).agg(F.max(100.0 * F.col("i") / (F.col("nq") + F.col("nd") - F.col("i"))).alias("s")))
     return q.select(name).join(hits, name, "left").select(
         name, F.round(F.coalesce("s", F.lit(0.0)), 6).alias("fuzzy_score"))
