@@ -79,9 +79,8 @@ def spaced(c: Column) -> Column:
     return F.replace(F.coalesce(c, F.lit("")), F.lit("_"), F.lit(" "))
 
 
-def label_by_rules(name: Column, rules=V.LABELLING_RULES) -> tuple[Column, Column]:
-    """(entity, matched patterns): empty strings where no rule applies."""
-    flat = padded(spaced(T.normalize_light(name)))
+def label_by_rules(flat: Column, rules=V.LABELLING_RULES) -> tuple[Column, Column]:
+    """(entity, matched patterns) of a padded normal form; empty strings where no rule applies."""
     entity_pairs, motive_pairs = [], []
     for entity, positive, anti in rules:
         cond = flat.rlike(_alternation(positive, False))
@@ -99,21 +98,9 @@ def is_system_field(full: Column, last: Column) -> Column:
     return listed & ~T.contains_any(full, V.SYSTEM_FIELD_GUARDS)
 
 
-def is_exact_key(full: Column, last: Column) -> Column:
-    return T.fix_typo(full).isin(V.EXACT_KEYS) | T.fix_typo(last).isin(V.EXACT_KEYS)
-
-
-def rare_entity(full: Column, last: Column, normalize_patterns: bool = False) -> Column:
-    return keyword_match(padded(T.fix_typo(full), T.fix_typo(last)), V.RARE_RULES,
-                         normalize_patterns)
-
-
-def rescue_entity(full: Column, last: Column) -> Column:
-    return keyword_match(padded(spaced(full), spaced(last)), V.RESCUE_RULES, True)
-
-
-def fallback_entity(key: Column, classes=V.ENTITY_CLASSES) -> Column:
-    return keyword_match(padded(spaced(key)), V.FALLBACK_PAGE, False, classes)
+def is_exact_key(fixed_full: Column, fixed_last: Column) -> Column:
+    """Both arguments with typos fixed (text.fix_typo)."""
+    return fixed_full.isin(V.EXACT_KEYS) | fixed_last.isin(V.EXACT_KEYS)
 
 
 def focus_tags(norm: Column) -> Column:
@@ -127,15 +114,10 @@ def tier_of(entity: Column) -> Column:
     return _chain(pairs, F.lit(V.TIER_UNKNOWN))
 
 
-def canonical_entity(raw: Column, exemplar: Column) -> tuple[Column, Column]:
-    """(canonical entity, how it was found) of a discovered cluster."""
-    base = F.lower(F.trim(F.coalesce(raw, F.lit(""))))
-    bare = T.strip_trailing_number(base)
-    word = F.when(bare == "", base).otherwise(bare)
-    blob = F.concat_ws(" ", word, F.lower(F.coalesce(exemplar, F.lit(""))))
+def canonical_entity(word: Column, blob: Column, by_keyword: Column) -> tuple[Column, Column]:
+    """(canonical entity, how it was found): dictionary, keywords, fallback."""
     table = F.create_map(*[F.lit(x) for kv in V.CANONICAL_EXACT.items() for x in kv])
     exact = word.isin(list(V.CANONICAL_EXACT))
-    by_keyword = keyword_match(blob, V.CANONICAL_KEYWORDS)
     number = word.isin(V.CANONICAL_NUMBER_WORDS) & blob.contains("num")
     canon = (F.when(exact, F.element_at(table, word))
              .when(by_keyword.isNotNull(), by_keyword)

@@ -53,56 +53,3 @@ def rule_override(entity: Column, prob_entity: Column, matches: Column,
         F.when(flag, F.element_at(matches, 1)).otherwise(entity).alias("entity_final"),
         flag.alias("override_aplicado"),
         R.match_summary(matches).alias("regex_match"))
-
-
-def keyword_correction(key: Column, entity: Column, prob: Column, rules=V.FALLBACK_JUDGE,
-                       threshold: float = V.ENTITY_THRESHOLD,
-                       classes: list[str] | None = None) -> Column:
-    """Keyword entity in place of a low-confidence prediction."""
-    found = R.keyword_match(R.spaced(R.padded(F.coalesce(key, F.lit("")))), rules, False, classes,
-                            entity if classes is not None else None)
-    return F.when((prob < threshold) & found.isNotNull(), found).otherwise(entity)
-
-
-def decide(prob: Column, full: Column, last: Column,
-           threshold: float = V.MODEL_THRESHOLD, floor: float = V.RESCUE_FLOOR) -> Column:
-    """struct(pii, prob, reason, prior_entity) of the five-level decision.
-
-    Exclusion beats everything, then the model, exact keys, rare keys, and the
-    rescue keywords inside the band between floor and threshold.
-    """
-    excluded = R.is_system_field(full, last)
-    exact = R.is_exact_key(full, last)
-    rare = R.rare_entity(full, last)
-    rescue = R.rescue_entity(full, last)
-    reason = (F.when(full == "", F.when(prob >= threshold, F.lit("modelo")).otherwise(F.lit("")))
-              .when(excluded, F.lit("exclusion_sistema"))
-              .when(prob >= threshold, F.lit("modelo"))
-              .when(exact, F.lit("exacto"))
-              .when(rare.isNotNull(), F.lit("raro"))
-              .when((prob >= floor) & rescue.isNotNull(), F.lit("fuzzy"))
-              .otherwise(F.lit("")))
-    prior = (F.when(reason == "exacto", F.coalesce(rescue, R.fallback_entity(full)))
-             .when(reason == "raro", rare).when(reason == "fuzzy", rescue))
-    raised = F.when(reason == "exclusion_sistema", F.lit(0.0))
-    for level, p in V.RULE_PROBABILITY.items():
-        raised = raised.when(reason == level, F.greatest(prob, F.lit(p)))
-    return F.struct((~reason.isin("", "exclusion_sistema")).alias("pii"),
-                    F.bround(raised.otherwise(prob), 4).alias("prob"),
-                    reason.alias("reason"), prior.alias("prior_entity"))
-
-
-def resolve_entity(reason: Column, prior: Column, entity: Column, prob: Column,
-                   full: Column, last: Column, classes=V.ENTITY_CLASSES) -> Column:
-    """struct(entity, prob_entity): rule prior, low-confidence fallback, classifier."""
-    p = F.bround(prob, 4)
-    usable = prior.isin(classes)
-    low = p < V.ENTITY_THRESHOLD
-    fallback = F.coalesce(R.rescue_entity(full, last), R.fallback_entity(full, classes))
-    by_prior = F.coalesce(usable, F.lit(False)) & (reason.isin("exacto", "raro") | low)
-    by_fallback = low & fallback.isNotNull()
-    return F.struct(
-        F.when(by_prior, prior).when(by_fallback, fallback).otherwise(entity).alias("entity"),
-        F.when(by_prior, F.bround(F.greatest(prob, F.lit(V.PRIOR_ENTITY_PROBABILITY)), 4))
-         .when(by_fallback, F.bround(F.greatest(prob, F.lit(V.FALLBACK_ENTITY_PROBABILITY)), 4))
-         .otherwise(p).alias("prob_entity"))

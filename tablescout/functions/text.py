@@ -18,16 +18,23 @@ SEPARATORS = r"[_\-/|;:.]+"
 
 
 def _accent_table() -> tuple[str, str]:
-    """Pairs (accented letter, bare letter) derived from canonical decomposition."""
-    src, dst = [], []
-    for code in range(0xC0, 0x2000):
+    """Accented letters with their bare letters, then the combining marks.
+
+    Derived from canonical decomposition. `translate` deletes characters that
+    have no counterpart, so the marks at the end disappear.
+    """
+    src, dst, marks = [], [], []
+    for code in range(0x80, 0x3000):
         letter = chr(code)
+        if unicodedata.category(letter) == "Mn":
+            marks.append(letter)
+            continue
         bare = "".join(x for x in unicodedata.normalize("NFD", letter)
                        if unicodedata.category(x) != "Mn")
         if bare != letter and len(bare) == 1:
             src.append(letter)
             dst.append(bare)
-    return "".join(src), "".join(dst)
+    return "".join(src + marks), "".join(dst)
 
 
 _ACCENTED, _BARE = _accent_table()
@@ -44,9 +51,7 @@ def squeeze(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    """Drop combining marks; plain ASCII values skip the folding altogether."""
-    folded = F.regexp_replace(F.translate(c, _ACCENTED, _BARE), r"\p{Mn}+", "")
-    return F.when(c.rlike(r"[^\x00-\x7f]"), folded).otherwise(c)
+    return F.translate(c, _ACCENTED, _BARE)
 
 
 def contains_any(c: Column, words) -> Column:
@@ -84,7 +89,7 @@ def split_roots(c: Column, roots=V.GLUED_ROOTS) -> Column:
         out = F.regexp_replace(out, f"(?<=[a-z])({root})(?=[a-z])", " $1 ")
         out = F.regexp_replace(out, f"(?<=[a-z])({root})$", " $1")
         out = F.regexp_replace(out, f"^({root})(?=[a-z])", "$1 ")
-    return F.when(contains_any(c, roots), squeeze(out)).otherwise(squeeze(c))
+    return F.when(c.rlike("|".join(roots)), squeeze(out)).otherwise(squeeze(c))
 
 
 def normalize_aggr(c) -> Column:
@@ -128,7 +133,7 @@ def expand_abbreviations(c: Column, pairs=V.ABBREVIATIONS) -> Column:
     out = F.concat(F.lit(" "), c, F.lit(" "))
     for short, full in steps:
         out = F.regexp_replace(out, rf"(?U)\b{short}\b", full)
-    return F.when(contains_any(c, [a for a, _ in steps]), squeeze(out)).otherwise(squeeze(c))
+    return F.when(c.rlike("|".join(a for a, _ in steps)), squeeze(out)).otherwise(squeeze(c))
 
 
 def clean_dotted(c) -> Column:
@@ -137,19 +142,9 @@ def clean_dotted(c) -> Column:
     return squeeze(F.lower(strip_accents(s)))
 
 
-def dotted_parts(c) -> Column:
-    parts = F.transform(F.split(clean_dotted(c), r"\."), lambda p: F.trim(p))
-    return F.filter(parts, lambda p: p != "")
-
-
-def full_key(c) -> Column:
-    parts = dotted_parts(c)
-    return F.when(F.size(parts) > 0, F.array_join(parts, " ")).otherwise(clean_dotted(c))
-
-
-def last_token(c) -> Column:
-    parts = dotted_parts(c)
-    return F.when(F.size(parts) > 0, F.element_at(parts, -1)).otherwise(clean_dotted(c))
+def dotted_parts(clean: Column) -> Column:
+    """Non-empty segments of a cleaned dotted name."""
+    return F.filter(F.transform(F.split(clean, r"\."), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def fix_typo(c: Column, fixes=V.TYPO_FIXES) -> Column:

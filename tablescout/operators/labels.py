@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tablescout.functions import rules as R, scores as S, text as T, vocabulary as V
 from tablescout.operators.grouping import best_row, top_k
@@ -227,3 +227,32 @@ def expected_failures(result: DataFrame, expected: DataFrame) -> DataFrame:
     """Expected (name, entity) pairs the result does not reproduce."""
     return expected.join(result.select("name", F.col("entity").alias("expected_entity")),
                          ["name", "expected_entity"], "left_anti")
+
+
+def taxonomy(names: DataFrame, expanded: str = "exp", cutoff: float = 80.0) -> DataFrame:
+    """(name, entity, prob_entity, metodo): ordered patterns on the expanded name,
+    else the example with the best token overlap at or above the cut-off.
+
+    The examples are a fixed list of six, compared inside the row.
+    """
+    e = F.col(expanded)
+    by_rule = R.first_match(e, V.TAXONOMY, ignore_case=False, default=None)
+    toks = F.array_distinct(F.split(e, " "))
+
+    def overlap(example: str) -> Column:
+        d = F.array(*[F.lit(t) for t in example.split()])
+        return 100.0 * F.size(F.array_intersect(toks, d)) / F.size(F.array_union(toks, d))
+
+    best = F.greatest(*[F.struct(overlap(x).alias("s"), F.lit(-i).alias("o"), F.lit(ent).alias("e"))
+                        for i, (ent, x) in enumerate(V.TAXONOMY_EXAMPLES)])
+    d = names.withColumn("_rule", by_rule).withColumn("_near", best)
+    by_rule, best, empty = F.col("_rule"), F.col("_near"), e == ""
+    near, found = best["s"] >= cutoff, by_rule.isNotNull()
+    return d.select(
+        "name",
+        F.when(empty, F.lit(V.TAXONOMY_UNKNOWN)).when(found, by_rule).when(near, best["e"])
+         .otherwise(F.lit(V.TAXONOMY_UNKNOWN)).alias("entity"),
+        F.when(empty, F.lit(0.0)).when(found, F.lit(1.0)).when(near, F.bround(best["s"] / 100, 2))
+         .otherwise(F.lit(0.0)).alias("prob_entity"),
+        F.when(empty, F.lit("vacio")).when(found, F.lit("regex")).when(near, F.lit("fuzzy"))
+         .otherwise(F.lit("fallback")).alias("metodo"))

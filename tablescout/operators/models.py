@@ -227,8 +227,8 @@ def score_two_stages(names: DataFrame, binary: BinaryModel, entity: EntityModel,
     plain = a.filter("NOT pii").withColumn("entity_ml", F.lit(None).cast("string")).withColumn(
         "prob_entity", F.lit(None).cast("double"))
     both = flagged.unionByName(plain).withColumn("prob_entity", F.bround("prob_entity", 4))
-    over = S.rule_override(F.col("entity_ml"), F.col("prob_entity"), R.all_matches(F.col("name")), entity_threshold)
-    o = both.withColumn("_o", F.when(F.col("pii"), over))
+    over = S.rule_override(F.col("entity_ml"), F.col("prob_entity"), F.col("_m"), entity_threshold)
+    o = both.withColumn("_m", R.all_matches(F.col("name"))).withColumn("_o", F.when(F.col("pii"), over))
     return o.select("tabla", F.col("name").alias("columna"), "pii", F.bround("_p", 4).alias("prob_pii"),
                     F.col("_o.entity_final").alias("entity"), "prob_entity",
                     F.coalesce("_o.override_aplicado", F.lit(False)).alias("override_aplicado"),

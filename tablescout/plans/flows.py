@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablescout.functions import rules as R, text as T
-from tablescout.operators import catalog as C, labels as L, lifecycle as LC, retention as RT
+from tablescout.functions import rules as R, text as T, vocabulary as V
+from tablescout.operators import catalog as C, decisions as X, labels as L, lifecycle as LC, retention as RT
 from tablescout.sources.schema_scan import profile_columns
 
 
 def scan_report(columns: DataFrame) -> DataFrame:
     """Rule verdict per scanned column: normal form, first and unique match."""
-    name = F.col("name")
-    matches = R.all_matches(name)
-    return columns.select(
-        "*", T.normalize_name(name).alias("name_norm"), R.first_match(name).alias("entity"),
-        R.match_summary(matches).alias("regex_match"), (F.size(matches) > 0).alias("pii"))
+    m = F.col("_m")
+    first = F.when(F.size(m) > 0, F.element_at(m, 1)).otherwise(F.lit(V.OTHER_PII))
+    return X.with_matches(columns, "name", "_m").select(
+        *columns.columns, T.normalize_name("name").alias("name_norm"), first.alias("entity"),
+        R.match_summary(m).alias("regex_match"), (F.size(m) > 0).alias("pii"))
 
 
 def personal_columns(tables: dict[str, DataFrame]) -> DataFrame:

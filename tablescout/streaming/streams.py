@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablescout.functions import rules as R, scores as S, text as T
+from tablescout.functions import rules as R, text as T, vocabulary as V
+from tablescout.operators import decisions as X
 
 
 def score_names(names: DataFrame, name: str = "name", prob: str = "prob") -> DataFrame:
@@ -13,14 +14,11 @@ def score_names(names: DataFrame, name: str = "name", prob: str = "prob") -> Dat
 
     Works unchanged on a batch or a streaming DataFrame.
     """
-    matches = R.all_matches(F.col(name))
-    full, last = T.full_key(name), T.last_token(name)
-    return (names.withColumn("name_norm", T.normalize_name(name))
-            .withColumn("first_match", R.first_match(F.col(name)))
-            .withColumn("regex_match", R.match_summary(matches))
-            .withColumn("_d", S.decide(F.col(prob), full, last))
-            .select(*names.columns, "name_norm", "first_match", "regex_match", F.col("_d.pii").alias("pii"),
-                    F.col("_d.prob").alias("prob_pii"), F.col("_d.reason").alias("motivo")))
+    d = X.with_rule_levels(X.with_dotted_keys(X.with_matches(names, name, "_m"), name))
+    d = X.five_level_decision(d, prob)
+    first = F.when(F.size("_m") > 0, F.element_at("_m", 1)).otherwise(F.lit(V.OTHER_PII))
+    return d.select(*names.columns, T.normalize_name(name).alias("name_norm"), first.alias("first_match"),
+                    R.match_summary(F.col("_m")).alias("regex_match"), "pii", "prob_pii", "reason")
 
 
 def drift_windows(scored: DataFrame, ts: str = "ts", prob: str = "prob", entity: str = "entity",
