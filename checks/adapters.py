@@ -145,7 +145,7 @@ DOCS = """docs AS (SELECT doc_id AS id, source AS dataset, lang AS type, text AS
 def sources(spark, d) -> dict[str, DataFrame]:
     """Four label sources with overlapping names and different opinions."""
     g, w = gold(spark, d), words(spark, d)
-    up = g.select(F.upper("name").alias("name"), F.lit("cuenta").alias("entity"))
+    up = g.select(F.concat(F.lit("X_"), "name").alias("name"), F.lit("cuenta").alias("entity"))
     return {"gold_validado": g, "match_validado": w.select("name", "entity"),
             "manual_pool": up.unionByName(g.select("name", F.lit(" Saldo ").alias("entity"))),
             "sintetico": w.select("name", F.lit("curp").alias("entity"))}
@@ -155,7 +155,7 @@ SOURCES = f"""{GOLD}, {WORDS},
 labelled AS (SELECT trim(name) AS name, lower(trim(entity)) AS entity, label_source, w FROM (
   SELECT name, entity, 'gold_validado' AS label_source, 1.0::DOUBLE AS w FROM gold
   UNION ALL SELECT name, entity, 'match_validado', 1.0::DOUBLE FROM words
-  UNION ALL SELECT upper(name), 'cuenta', 'manual_pool', 0.5::DOUBLE FROM gold
+  UNION ALL SELECT 'X_' || name, 'cuenta', 'manual_pool', 0.5::DOUBLE FROM gold
   UNION ALL SELECT name, ' Saldo ', 'manual_pool', 0.5::DOUBLE FROM gold
   UNION ALL SELECT name, 'curp', 'sintetico', 0.3::DOUBLE FROM words)
   WHERE entity IS NOT NULL AND trim(entity) <> '' AND trim(name) <> '')"""

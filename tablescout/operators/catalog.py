@@ -178,11 +178,11 @@ def clustering_agreement(rows: DataFrame, truth: str, found: str) -> DataFrame:
     t = (rows.filter(F.col(truth).isNotNull() & F.col(found).isNotNull())
          .groupBy(truth, found).agg(F.count("*").cast("double").alias("n")))
     by = lambda c: t.groupBy(c).agg(F.sum("n").alias("m"))
-    total = t.agg(F.sum("n").alias("N"))
+    total = t.agg(F.sum("n").alias("all_n"))
     entropy = lambda d, out: (attach(d, total).agg(
-        F.sum(-F.col("m") / F.col("N") * F.log(F.col("m") / F.col("N"))).alias(out)))
+        F.sum(-F.col("m") / F.col("all_n") * F.log(F.col("m") / F.col("all_n"))).alias(out)))
     conditional = lambda c, out: (attach(t.join(by(c), c), total).agg(
-        F.sum(-F.col("n") / F.col("N") * F.log(F.col("n") / F.col("m"))).alias(out)))
+        F.sum(-F.col("n") / F.col("all_n") * F.log(F.col("n") / F.col("m"))).alias(out)))
     parts = [entropy(by(truth), "hc"), entropy(by(found), "hk"),
              conditional(found, "hck"), conditional(truth, "hkc")]
     m = reduce(attach, parts)

@@ -180,8 +180,8 @@ def calibration_error(df: DataFrame, score: str, label: str, bins: int = 10) ->
     spot = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int")
     b = score_counts(df, score, label).groupBy(spot.alias("bin")).agg(
         F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum(F.col("n") * F.col("score")).alias("s"))
-    total = b.agg(F.sum("n").alias("N"))
-    return attach(b, total).agg(F.round(F.sum(F.abs(F.col("pos") - F.col("s")) / F.col("N")), 6).alias("ece"))
+    total = b.agg(F.sum("n").alias("all_n"))
+    return attach(b, total).agg(F.round(F.sum(F.abs(F.col("pos") - F.col("s")) / F.col("all_n")), 6).alias("ece"))
 
 
 def ranked_errors(df: DataFrame, score: str, label: str, threshold: float, name: str,

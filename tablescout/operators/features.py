@@ -74,5 +74,5 @@ def imbalance_weight(rows: DataFrame, y: str, w: str | None = None) -> DataFrame
 def balanced_weights(rows: DataFrame, label: str) -> DataFrame:
     """(label, class_weight) = rows / (classes * rows of the class)."""
     per = rows.groupBy(label).agg(F.count("*").alias("n"))
-    total = per.agg(F.sum("n").alias("N"), F.count("*").alias("K"))
-    return attach(per, total).select(label, (F.col("N") / (F.col("K") * F.col("n"))).alias("class_weight"))
+    total = per.agg(F.sum("n").alias("all_n"), F.count("*").alias("classes"))
+    return attach(per, total).select(label, (F.col("all_n") / (F.col("classes") * F.col("n"))).alias("class_weight"))
