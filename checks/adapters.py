@@ -43,7 +43,7 @@ def coded(spark, d) -> DataFrame:
     classes = F.array(*[F.lit(e) for e in V.ENTITY_CLASSES])
     return table(spark, d, "customer").select(
         F.col("c_custkey").alias("id"), seg.alias("tabla"),
-        F.concat(F.element_at(terms, F.col("c_nationkey") + 1), tail).alias("name"),
+        F.explode(F.array(F.concat(F.element_at(terms, F.col("c_nationkey") + 1), tail))).alias("name"),
         F.round(F.least(F.greatest(F.col("c_acctbal") / 10000, F.lit(0.0)), F.lit(1.0)), 4).alias("prob"),
         F.element_at(classes, (F.pmod("c_custkey", F.lit(23)) + 1).cast("int")).alias("entity_ml"),
         (F.pmod("c_custkey", F.lit(1000)) / 1000).alias("prob_entity"),
@@ -148,7 +148,7 @@ def sources(spark, d) -> dict[str, DataFrame]:
     up = g.select(F.concat(F.lit("X_"), "name").alias("name"), F.lit("cuenta").alias("entity"))
     return {"gold_validado": g, "match_validado": w.select("name", "entity"),
             "manual_pool": up.unionByName(g.select("name", F.lit(" Saldo ").alias("entity"))),
-            "sintetico": w.select("name", F.lit("curp").alias("entity"))}
+            "sintetico": w.select("name", F.when(F.col("entity") == "en", F.lit("curp")).alias("entity"))}
 
 
 SOURCES = f"""{GOLD}, {WORDS},
@@ -157,7 +157,7 @@ labelled AS (SELECT trim(name) AS name, lower(trim(entity)) AS entity, label_sou
   UNION ALL SELECT name, entity, 'match_validado', 1.0::DOUBLE FROM words
   UNION ALL SELECT 'X_' || name, 'cuenta', 'manual_pool', 0.5::DOUBLE FROM gold
   UNION ALL SELECT name, ' Saldo ', 'manual_pool', 0.5::DOUBLE FROM gold
-  UNION ALL SELECT name, 'curp', 'sintetico', 0.3::DOUBLE FROM words)
+  UNION ALL SELECT name, CASE WHEN entity = 'en' THEN 'curp' END, 'sintetico', 0.3::DOUBLE FROM words)
   WHERE entity IS NOT NULL AND trim(entity) <> '' AND trim(name) <> '')"""
 
 
@@ -258,7 +258,8 @@ def objects(spark, d) -> DataFrame:
             .when(form == 3, cat(proj, "/old/", k, ".bin"))
             .when(form == 4, cat("single", k)).when(form == 5, cat("vault/short/", k, ".zip"))
             .when(form == 6, cat("vault/UAT/N1/", proj, "/", k, ".txt")).otherwise(cat("/", proj, "/", k)))
-    return table(spark, d, "orders").select(path.alias("path"), ms("o_orderdate").alias("lastModified"),
+    # the one-element explode makes the made-up path a stored column for the plans above it
+    return table(spark, d, "orders").select(F.explode(F.array(path)).alias("path"), ms("o_orderdate").alias("lastModified"),
                                             (F.col("o_totalprice") * 1000).cast("long").alias("size"), "o_orderpriority")
 
 

@@ -54,8 +54,8 @@ def _histogram(s, d):
 register("a21_activity_histogram", _histogram,
          f"""WITH {A.PROJECTS}, ev AS (SELECT t FROM job_ts WHERE t IS NOT NULL UNION ALL SELECT t FROM commit_ts WHERE t IS NOT NULL),
 c AS (SELECT strftime(t, '%Y-%m') AS mes, count(*) AS k FROM ev GROUP BY 1),
-ax AS (SELECT i, DATE '{A.REF}' - i * 30 AS day, '30d' AS axis FROM (SELECT unnest(generate_series(0, 11)) AS i) UNION ALL
- SELECT i, CAST(DATE '{A.REF}' - to_months(i) AS DATE), 'calendar' FROM (SELECT unnest(generate_series(0, 11)) AS i))
+ax AS (SELECT i, DATE '{A.REF}' - CAST(i * 30 AS INTEGER) AS day, '30d' AS axis FROM (SELECT unnest(generate_series(0, 11)) AS i) UNION ALL
+ SELECT i, CAST(DATE '{A.REF}' - to_months(CAST(i AS INTEGER)) AS DATE), 'calendar' FROM (SELECT unnest(generate_series(0, 11)) AS i))
 SELECT CAST(11 - i AS INTEGER) AS idx, strftime(day, '%Y-%m') AS mes, strftime(day, '%b') AS etiqueta, coalesce(k, 0) AS n, axis FROM ax LEFT JOIN c ON c.mes = strftime(day, '%Y-%m')""")
 register("a24_structure_counts", lambda s, d: LC.structure_counts(A.table(s, d, "orders").select(
     F.when(F.col("o_orderstatus") == "F", F.lit("datasets")).when(F.col("o_orderstatus") == "O", F.lit("recetas")).otherwise(F.lit("escenarios")).alias("kind"))),
@@ -79,7 +79,7 @@ def _scope(s, d):
 SCOPE = f"""{A.PROJECTS}, own AS (SELECT pk, c_nationkey AS ins, c_mktsegment AS seg, {M} AS k FROM activity JOIN customer ON pk = CAST(c_custkey AS VARCHAR)),
 scope AS (SELECT own.* FROM own LEFT JOIN nation ON n_nationkey = ins WHERE seg <> 'BUILDING' AND k >= CASE WHEN n_regionkey BETWEEN 1 AND 4 THEN n_regionkey ELSE 4 END)"""
 register("r20_in_scope", _scope, f"WITH {SCOPE} SELECT pk AS id_proyecto, ins AS id_instancia, CAST(k AS INTEGER) AS meses_inactivo FROM scope")
-register("a25_cleanup_breakdown", lambda s, d: LC.cleanup_breakdown(_scope(s, d)), f"WITH {SCOPE} SELECT CAST(least(k, 4) AS INTEGER) AS bucket, count(*) AS n FROM scope GROUP BY 1 HAVING least(k, 4) > 0")
+register("a25_cleanup_breakdown", lambda s, d: LC.cleanup_breakdown(_scope(s, d)), f"WITH {SCOPE} SELECT CAST(least(k, 4) AS INTEGER) AS bucket, count(*) AS n FROM scope WHERE k > 0 GROUP BY 1")
 
 # ---- bundles ---------------------------------------------------------------------
 _scan = lambda s, d: RT.bundle_scan(A.objects(s, d), A.ROOT, A.ref())

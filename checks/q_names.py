@@ -156,10 +156,10 @@ register("f33_reason_chip", lambda s, d: LC.project_details(A.projects(s, d), A.
   ELSE 'Abandonado hace ' || {S.months('greatest(mod, run)', A.REF_SQL)} || 'm' END AS motivo FROM activity""")
 
 # paths
-register("f29_parse_bundle_path", lambda s, d: A.objects(s, d).withColumn("p", P.parse_bundle_path(F.col("path"), A.ROOT)).filter("p IS NOT NULL").select("path", "p.*"),
+register("f29_parse_bundle_path", lambda s, d: P.with_bundle_fields(A.objects(s, d), "path", A.ROOT).filter("flow IS NOT NULL").select("path", "flow", "env", "nickname", "proyecto", "filename"),
          f"WITH {A.OBJECTS} SELECT path, flow, env, nickname, proyecto, filename FROM bundles_all")
-register("f30_is_bundle", lambda s, d: A.objects(s, d).withColumn("p", P.parse_bundle_path(F.col("path"), A.ROOT)).select(
-    "path", P.is_bundle(F.col("path"), F.col("p.flow")).alias("bundle")),
+register("f30_is_bundle", lambda s, d: P.with_bundle_fields(A.objects(s, d), "path", A.ROOT).select(
+    "path", P.is_bundle(F.col("path"), F.col("flow")).alias("bundle")),
     f"""WITH {A.OBJECTS} SELECT path, CASE WHEN flow = 'NEW' THEN lower(path) LIKE '%.zip' WHEN flow = 'LEGACY' THEN n
   ELSE lower(path) LIKE '%.zip' OR n END AS bundle FROM (SELECT path, flow, contains(regexp_replace({A.CLEAN_PATH}, '/+$', ''), '/') AS n FROM parsed)""")
 register("f31_path_id_megabytes", lambda s, d: A.objects(s, d).select("path", P.path_id(F.col("path")).alias("id"), P.megabytes(F.col("size")).alias("mb")),

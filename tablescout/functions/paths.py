@@ -2,38 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _parts(path: Column) -> Column:
-    return F.split(F.regexp_replace(path, "^/+", ""), "/")
-
-
-def _rest(parts: Column, start: int) -> Column:
-    return F.array_join(F.slice(parts, F.lit(start), F.greatest(F.size(parts) - (start - 1), F.lit(0))), "/")
-
-
-def parse_bundle_path(path: Column, root: str, whole_tail: bool = True) -> Column:
-    """struct(flow, env, nickname, proyecto, filename), null where not a bundle.
+def with_bundle_fields(df: DataFrame, path: str, root: str, whole_tail: bool = True) -> DataFrame:
+    """Adds flow, env, nickname, proyecto and filename; all null where not a bundle.
 
     `root` is the first folder of the new layout root/env/nickname/project/file.
     Two older layouts are project/project_bundles/file and project/anything.
     `whole_tail=False` keeps only the fifth part as file name (older behaviour).
     """
-    p = _parts(path)
-    at = lambda i: F.get(p, F.lit(i))
-    n = F.size(p)
-
-    def row(flow, env, nick, project, filename):
-        return F.struct(flow.alias("flow"), env.alias("env"), nick.alias("nickname"),
-                        project.alias("proyecto"), filename.alias("filename"))
-
-    legacy = [F.lit("LEGACY"), F.lit("PROD"), F.lit("LEGACY"), at(0)]
-    return (F.when((n >= 5) & (at(0) == root),
-                   row(F.lit("NEW"), at(1), at(2), at(3),
-                       _rest(p, 5) if whole_tail else at(4)))
-            .when((n >= 3) & (at(1) == "project_bundles"), row(*legacy, _rest(p, 3)))
-            .when((n >= 2) & (at(0) != root), row(*legacy, _rest(p, 2))))
+    d = df.withColumn("_pp", F.split(F.regexp_replace(path, "^/+", ""), "/"))
+    at = lambda i: F.get("_pp", F.lit(i))
+    n = F.size("_pp")
+    listed = (n >= 3) & (at(1) == "project_bundles")
+    rest = lambda start: F.array_join(F.slice("_pp", F.lit(start), F.greatest(n - (start - 1), F.lit(0))), "/")
+    d = d.withColumn("flow", F.when((n >= 5) & (at(0) == root), F.lit("NEW"))
+                     .when(listed | ((n >= 2) & (at(0) != root)), F.lit("LEGACY")))
+    new, old = F.col("flow") == "NEW", F.col("flow") == "LEGACY"
+    return (d.withColumn("env", F.when(new, at(1)).when(old, F.lit("PROD")))
+            .withColumn("nickname", F.when(new, at(2)).when(old, F.lit("LEGACY")))
+            .withColumn("proyecto", F.when(new, at(3)).when(old, at(0)))
+            .withColumn("filename", F.when(new, rest(5) if whole_tail else at(4)).when(old & listed, rest(3))
+                        .when(old, rest(2)))
+            .drop("_pp"))
 
 
 def is_bundle(path: Column, flow: Column) -> Column:

@@ -7,6 +7,7 @@ entity at most, and the `when` chain stops at the first hit.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -18,6 +19,11 @@ def _alternation(patterns, ignore_case: bool) -> str:
     return ("(?i)" if ignore_case else "") + "(?U)" + "|".join(patterns)
 
 
+def _literal_words(words) -> str:
+    """Words as one alternation, so a key is looked at once per rule."""
+    return "|".join(re.escape(w).replace("\\ ", " ") for w in words)
+
+
 def _chain(pairs, default: Column) -> Column:
     """First true condition wins."""
     (cond, value), *rest = pairs
@@ -58,9 +64,9 @@ def keyword_match(key: Column, rules, normalize_patterns: bool = False,
     for entity, positive, *anti in rules:
         if allowed is not None and entity not in allowed:
             continue
-        cond = T.contains_any(key, [fix(w) for w in positive])
+        cond = key.rlike(_literal_words([fix(w) for w in positive]))
         if anti and anti[0]:
-            cond = cond & ~T.contains_any(key, [fix(w) for w in anti[0]])
+            cond = cond & ~key.rlike(_literal_words([fix(w) for w in anti[0]]))
         if other_than is not None:
             cond = cond & ~F.coalesce(other_than == entity, F.lit(False))
         pairs.append((cond, F.lit(entity)))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablescout.functions import vocabulary as V
 from tablescout.operators.grouping import attach
+from tablescout.session import cut_lineage
 
 SLICES = 200
 
@@ -55,33 +56,33 @@ def threshold_grid(df: DataFrame, score: str, label: str, thresholds=V.GRID_THRE
 
 
 def cumulative_counts(df: DataFrame, score: str, label: str) -> DataFrame:
-    """(score, pos, n, tp, hit): counts at or above each distinct score.
+    """(score, pos, n, tp, hit, p): counts at or above each distinct score.
 
-    Distributed running sum: distinct scores are cut into slices at sampled
-    quantiles (a bounded list), slice totals give each slice its start, and a
-    window runs inside the slice only.
+    The data is read once into counts per score. Distributed running sum:
+    distinct scores are cut into slices at their quantiles (a bounded list),
+    slice totals give each slice its start, and a window runs inside a slice.
+    `p` is the total of positives.
     """
-    counts = score_counts(df, score, label)
-    cuts = counts.agg(F.expr("percentile_approx(score, transform(sequence(1, %d), i -> i / %dD))"
-                             % (SLICES - 1, SLICES)).alias("cuts"))
+    counts = cut_lineage(score_counts(df, score, label))
+    cuts = counts.agg(F.percentile_approx("score", [i / SLICES for i in range(1, SLICES)]).alias("cuts"))
     sliced = attach(counts, cuts).withColumn(
         "slice", F.size(F.filter("cuts", lambda x: x <= F.col("score")))).drop("cuts")
     totals = sliced.groupBy("slice").agg(F.sum("pos").alias("sp"), F.sum("n").alias("sn"))
-    above = W.orderBy(F.desc("slice")).rowsBetween(W.unboundedPreceding, -1)  # at most SLICES rows
+    # the windows below see at most SLICES rows
+    above = W.orderBy(F.desc("slice")).rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select("slice", F.coalesce(F.sum("sp").over(above), F.lit(0)).alias("bp"),
-                           F.coalesce(F.sum("sn").over(above), F.lit(0)).alias("bn"))
+                           F.coalesce(F.sum("sn").over(above), F.lit(0)).alias("bn"),
+                           F.sum("sp").over(W.partitionBy(F.lit(1))).alias("p"))
     inside = W.partitionBy("slice").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
     return (sliced.join(F.broadcast(starts), "slice")
             .select("score", "pos", "n", (F.col("bp") + F.sum("pos").over(inside)).alias("tp"),
-                    (F.col("bn") + F.sum("n").over(inside)).alias("hit")))
+                    (F.col("bn") + F.sum("n").over(inside)).alias("hit"), "p"))
 
 
 def precision_recall_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     c = cumulative_counts(df, score, label)
-    total = c.agg(F.sum("pos").alias("p"))
-    j = attach(c, total)
     rates = rate_columns(F.col("tp"), F.col("hit") - F.col("tp"), F.col("p") - F.col("tp"))
-    return j.select(F.col("score").alias("threshold"), "tp", (F.col("hit") - F.col("tp")).alias("fp"),
+    return c.select(F.col("score").alias("threshold"), "tp", (F.col("hit") - F.col("tp")).alias("fp"),
                     *[v.alias(k) for k, v in rates.items()])
 
 
@@ -98,6 +99,7 @@ def threshold_below_best_f2(curve: DataFrame) -> DataFrame:
     On the ascending curve the operating point is moved one distinct score
     down; at the lowest score it stays.
     """
+    curve = cut_lineage(curve)
     best = best_threshold(curve, "threshold", "f2").select(
         F.col("threshold").alias("at"), F.col("f2").alias("f2max"), F.col("precision").alias("prec_en_thr"),
         F.col("recall").alias("rec_en_thr"))
@@ -162,9 +164,7 @@ def macro_metrics(df: DataFrame, truth: str, pred: str) -> DataFrame:
 
 def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
     """Sum over distinct scores of (recall step x precision)."""
-    c = cumulative_counts(df, score, label)
-    total = c.agg(F.sum("pos").alias("p"))
-    return attach(c, total).agg(
+    return cumulative_counts(df, score, label).agg(
         F.round(F.sum(F.col("pos") / F.col("p") * F.col("tp") / F.col("hit")), 6).alias("pr_auc"))
 
 

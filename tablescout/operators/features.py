@@ -17,8 +17,8 @@ def _smoothed(sy: Column, sw: Column, n: Column, prior: Column, alpha: float) ->
 def target_encoding(rows: DataFrame, key: str, y: str, w: str, alpha: float = 10.0) -> DataFrame:
     """Smoothed weighted mean per key: (mean*n + alpha*global) / (n + alpha)."""
     yw = F.col(y) * F.col(w)
-    prior = rows.agg((F.sum(yw) / F.sum(w)).alias("g"))
     per = rows.groupBy(key).agg(F.sum(yw).alias("sy"), F.sum(w).alias("sw"), F.count("*").alias("n"))
+    prior = per.agg((F.sum("sy") / F.sum("sw")).alias("g"))
     return attach(per, prior).select(
         key, "n", _smoothed(F.col("sy"), F.col("sw"), F.col("n"), F.col("g"), alpha).alias("te"))
 
@@ -31,8 +31,8 @@ def target_encoding_oof(rows: DataFrame, key: str, y: str, w: str, fold: str,
     seen in one fold only get the global mean.
     """
     yw = F.col(y) * F.col(w)
-    prior = rows.agg((F.sum(yw) / F.sum(w)).alias("g"))
     part = rows.groupBy(key, fold).agg(F.sum(yw).alias("fy"), F.sum(w).alias("fw"), F.count("*").alias("fn"))
+    prior = part.agg((F.sum("fy") / F.sum("fw")).alias("g"))
     total = part.groupBy(key).agg(F.sum("fy").alias("ty"), F.sum("fw").alias("tw"), F.sum("fn").alias("tn"))
     n = F.col("tn") - F.col("fn")
     value = F.when(n > 0, _smoothed(F.col("ty") - F.col("fy"), F.col("tw") - F.col("fw"), n, F.col("g"), alpha)

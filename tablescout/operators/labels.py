@@ -225,8 +225,9 @@ def discrepancy(scored: DataFrame, predicted: str, label: str) -> DataFrame:
 
 def expected_failures(result: DataFrame, expected: DataFrame) -> DataFrame:
     """Expected (name, entity) pairs the result does not reproduce."""
-    return expected.join(result.select("name", F.col("entity").alias("expected_entity")),
-                         ["name", "expected_entity"], "left_anti")
+    got = result.select(F.coalesce("name", F.lit("")).alias("name"),
+                        F.coalesce("entity", F.lit("")).alias("expected_entity"))
+    return expected.join(got, ["name", "expected_entity"], "left_anti")
 
 
 def taxonomy(names: DataFrame, expanded: str = "exp", cutoff: float = 80.0) -> DataFrame:

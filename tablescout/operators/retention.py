@@ -14,13 +14,11 @@ GROUP = ["flow", "env", "nickname", "proyecto"]
 
 def bundle_scan(objects: DataFrame, root: str, ref: Column, cutoff_days: int = V.DEFAULT_CUTOFF_DAYS) -> DataFrame:
     """Parsed bundles older than the cut-off. Age filters first, next to the scan."""
-    created = D.from_millis(F.col("lastModified"))
-    return (objects.withColumn("creado", created)
-            .filter(D.older_than(F.col("creado"), ref, max(0, int(cutoff_days))))
-            .withColumn("_p", P.parse_bundle_path(F.col("path"), root))
-            .filter(F.col("_p").isNotNull() & P.is_bundle(F.col("path"), F.col("_p.flow")))
-            .select(P.path_id(F.col("path")).alias("id"), F.col("path").alias("s3_path"), "_p.flow", "_p.env",
-                    "_p.nickname", "_p.proyecto", "_p.filename", "creado",
+    aged = (objects.withColumn("creado", D.from_millis(F.col("lastModified")))
+            .filter(D.older_than(F.col("creado"), ref, max(0, int(cutoff_days)))))
+    return (P.with_bundle_fields(aged, "path", root)
+            .filter(F.col("flow").isNotNull() & P.is_bundle(F.col("path"), F.col("flow")))
+            .select(P.path_id(F.col("path")).alias("id"), F.col("path").alias("s3_path"), *GROUP, "filename", "creado",
                     F.date_format("creado", "yyyy-MM-dd HH:mm:ss").alias("fecha_creacion_s3"),
                     P.megabytes(F.col("size")).alias("size")))
 
@@ -45,22 +43,28 @@ def keep_latest(bundles: DataFrame, group: list[str] = GROUP) -> DataFrame:
 
 def history_view(history: DataFrame, root: str) -> DataFrame:
     """History rows with environment, nickname and file name rebuilt from the path."""
-    p = F.col("_p")
-    return (history.withColumn("_p", P.parse_bundle_path(F.col("s3_path"), root))
-            .select("id", "s3_path", D.first_filled(F.col("flow"), p["flow"], default="").alias("flow"),
-                    F.coalesce(p["env"], F.lit("")).alias("env"), F.coalesce(p["nickname"], F.lit("")).alias("nickname"),
-                    "proyecto", F.coalesce(p["filename"], F.lit("")).alias("filename"), "fecha_creacion_s3",
-                    "fecha_periodo_limpieza", "size", F.lit(V.STATUS_KEEP).alias("estado")))
+    own = history.select("id", "s3_path", F.col("flow").alias("_flow"), F.col("proyecto").alias("_proyecto"),
+                         "fecha_creacion_s3", "fecha_periodo_limpieza", "size")
+    blank = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return P.with_bundle_fields(own, "s3_path", root).select(
+        "id", "s3_path", D.first_filled(F.col("_flow"), F.col("flow"), default="").alias("flow"), blank("env"),
+        blank("nickname"), F.col("_proyecto").alias("proyecto"), blank("filename"), "fecha_creacion_s3",
+        "fecha_periodo_limpieza", "size", F.lit(V.STATUS_KEEP).alias("estado"))
 
 
 def merge_history(history: DataFrame, marked: DataFrame, period: str) -> DataFrame:
-    """Drop discarded paths, insert or overwrite kept ones."""
-    touched = marked.filter(F.col("estado").isin(V.STATUS_KEEP, V.STATUS_DISCARD)).select("s3_path").distinct()
-    kept = marked.filter(F.col("estado") == V.STATUS_KEEP).select(
-        D.first_filled(F.col("id"), P.path_id(F.col("s3_path")), default="").alias("id"), "s3_path", "flow", "proyecto",
-        "fecha_creacion_s3", F.lit(period).alias("fecha_periodo_limpieza"), "size")
-    return (history.select(*V.HISTORY_COLUMNS).join(touched, "s3_path", "left_anti")
-            .unionByName(kept.select(*V.HISTORY_COLUMNS)))
+    """Drop discarded paths, insert or overwrite kept ones.
+
+    One full outer join on the unique path; each side is read once.
+    """
+    cols = [c for c in V.HISTORY_COLUMNS if c != "s3_path"]
+    new = marked.withColumn("fecha_periodo_limpieza", F.lit(period)).withColumn(
+        "id", D.first_filled(F.col("id"), P.path_id(F.col("s3_path")), default=""))
+    new = new.select("s3_path", "estado", *[F.col(c).alias(f"_{c}") for c in cols])
+    joined = history.select(*V.HISTORY_COLUMNS).join(new, "s3_path", "full_outer")
+    kept = joined.filter(F.col("estado").isNull() | (F.col("estado") != V.STATUS_DISCARD))
+    pick = lambda c: F.when(F.col("estado").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
+    return kept.select("s3_path", *[pick(c) for c in cols]).select(*V.HISTORY_COLUMNS)
 
 
 def cleanup_report(marked: DataFrame, period: str) -> DataFrame:
@@ -82,10 +86,12 @@ def global_report(bundles: DataFrame, history: DataFrame, period: str) -> DataFr
 
 
 def scan_and_history(scan: DataFrame, history: DataFrame) -> DataFrame:
-    """Union by path; the scan row wins where both exist."""
-    cols = ["s3_path", "flow", "env", "proyecto", "size", "estado"]
-    only = history.select(*cols).join(scan.select("s3_path"), "s3_path", "left_anti")
-    return scan.select(*cols).unionByName(only)
+    """Union by path; the scan row wins where both exist. Each side is read once."""
+    cols = ["flow", "env", "proyecto", "size", "estado"]
+    h = history.select("s3_path", *[F.col(c).alias(f"_{c}") for c in cols])
+    joined = scan.select("s3_path", *cols, F.lit(True).alias("_scanned")).join(h, "s3_path", "full_outer")
+    pick = lambda c: F.when(F.col("_scanned"), F.col(c)).otherwise(F.col(f"_{c}")).alias(c)
+    return joined.select("s3_path", *[pick(c) for c in cols])
 
 
 def environment_slices(bundles: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tablescout.operators.grouping import attach
+from tablescout.session import cut_lineage
+
 SLICES = 256
 
 
@@ -42,6 +45,7 @@ def stratified_group_split(rows: DataFrame, group: str, label: str, test_share:
     groups = (rows.groupBy(group).agg(F.avg(F.col(label).cast("double")).alias("m"))
               .select(group, (F.col("m") >= 0.5).cast("int").alias("majority"))
               .withColumn("_h", hash32(F.col(group))))
+    groups = cut_lineage(groups)  # one row per group, read three times below
     ranked = global_rank(groups, ["majority"], "_h", group)
     sizes = groups.groupBy("majority").agg(F.count("*").alias("_n"))
     return (ranked.join(sizes, "majority")
@@ -69,7 +73,7 @@ def slice_guaranteed_split(rows: DataFrame, group: str, label: str, entity: str,
     tagged = (g.join(out, group, "left").join(stay, group, "left")
               .withColumn("forced", F.when(F.col("_va"), F.lit("holdout")).when(F.col("_tr"), F.lit("train")))
               .drop("_va", "_tr"))
-    from tablescout.operators.grouping import attach
+    tagged = cut_lineage(tagged)
     stats = tagged.agg(F.count("*").alias("_all"),
                        F.sum((F.col("forced") == "holdout").cast("long")).alias("_out"),
                        F.sum(F.col("forced").isNull().cast("long")).alias("_free"))
@@ -116,7 +120,7 @@ def balanced_folds(rows: DataFrame, group: str, k: int) -> DataFrame:
     Sizes repeat heavily, so ranks start from per-size totals instead of one
     global sort; groups of one size are ordered by hash slices.
     """
-    sizes = rows.groupBy(group).agg(F.count("*").alias("n")).withColumn("_h", hash32(F.col(group)))
+    sizes = cut_lineage(rows.groupBy(group).agg(F.count("*").alias("n")).withColumn("_h", hash32(F.col(group))))
     ranked = global_rank(sizes, ["n"], "_h", group, "_local")
     per = sizes.groupBy("n").agg(F.count("*").alias("_c"))
     # distinct group sizes are few: sum of sizes is the row count, so at most sqrt(2 rows)
