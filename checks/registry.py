@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablescout.session import SETTINGS
+
+RUNTIME = ("spark.sql.session.timeZone", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -13,7 +16,9 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def wrap(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            for key, value in SETTINGS.items():
+                if key in RUNTIME:
+                    spark.conf.set(key, value)
             return fn(spark, sf_dir)
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")

@@ -58,16 +58,16 @@ def fit_features(df: DataFrame, numeric: list[str] = (), min_df: int = 2, char_f
 def binary_estimator(kind: str = "logistic", weight: str | None = None, **kw):
     common = dict(featuresCol="features", labelCol="y", **({"weightCol": weight} if weight else {}))
     if kind == "logistic":
-        return LogisticRegression(maxIter=kw.get("max_iter", 50), regParam=kw.get("reg", 0.001), **common)
+        return LogisticRegression(maxIter=kw.get("max_iter", 25), regParam=kw.get("reg", 0.001), **common)
     if kind == "svm":
-        return LinearSVC(maxIter=kw.get("max_iter", 50), regParam=kw.get("reg", 0.001), **common)
+        return LinearSVC(maxIter=kw.get("max_iter", 25), regParam=kw.get("reg", 0.001), **common)
     if kind == "gbt":
         extra = {"validationIndicatorCol": kw["validation"]} if "validation" in kw else {}
         return GBTClassifier(maxIter=kw.get("max_iter", 20), maxDepth=4, seed=0, **extra, **common)
     raise ValueError(kind)
 
 
-def entity_estimator(kind: str = "multinomial", weight: str | None = None, max_iter: int = 40):
+def entity_estimator(kind: str = "multinomial", weight: str | None = None, max_iter: int = 25):
     common = dict(featuresCol="features", labelCol="label")
     if kind == "multinomial":
         return LogisticRegression(family="multinomial", maxIter=max_iter, regParam=0.001,
@@ -111,6 +111,7 @@ def fit_binary(train: DataFrame, numeric: list[str] = (), kind: str = "logistic"
         base = F.col(weight) if weight else F.lit(1.0)
         train = train.withColumn("_w", base * F.when(F.col("y") == 1, F.lit(max(float(ratio), 1.0))).otherwise(F.lit(1.0)))
         weight = "_w"
+    train = cut_lineage(train)  # read once per fitted stage below
     fitted = fit_features(train, list(numeric), **features)
     return BinaryModel(fitted, binary_estimator(kind, weight).fit(fitted.transform(train)))
 
@@ -165,6 +166,7 @@ def fit_entity(train: DataFrame, kind: str = "multinomial", weight: str | None =
     w = F.broadcast(balanced_weights(train, "entity"))
     ready = indexer.transform(train.join(w, "entity")).withColumn(
         "_w", F.col("class_weight") * (F.col(weight) if weight else F.lit(1.0)))
+    ready = cut_lineage(ready)
     fitted = fit_features(ready, **features)
     return EntityModel(fitted, entity_estimator(kind, "_w").fit(fitted.transform(ready)), list(indexer.labels))
 

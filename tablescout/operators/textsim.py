@@ -4,20 +4,22 @@ Vectors stay sparse and long: an inverted index (gram, name) instead of a
 matrix. `nearest_neighbours` finds the best catalogue name per query name:
 
 1. equal strings are matched first (similarity 1) by a plain equi-join;
-2. for a floor t, each name keeps only its rarest grams until the weight left
-   out is too small to reach t (prefix filtering, exact for unit vectors), and
-   candidate pairs must share a kept gram; every candidate is then scored on
-   all its grams;
-3. with `complete=True` the names still unmatched are scored against every
-   catalogue name that shares any gram with them.
-
-Frequent grams never reach step 2's join except for names made of nothing
-else; AQE splits what skew remains.
+2. each remaining name looks up only its rarest grams, leaving out frequent
+   ones while their joint norm `rem` stays small. A pair sharing no looked-up
+   gram has a cosine below `rem` (unit vectors, Cauchy-Schwarz), and the true
+   cosine of a found pair is at most its partial sum plus `rem`; pairs that
+   cannot beat the best partial sum of their name are dropped, the few left are
+   scored on all their grams. The result is exact at any floor >= `rem`;
+3. with `complete=True` the names whose best score is below their `rem` are
+   scored against every catalogue name that shares any gram with them.
+
+Frequent grams only reach a join for names made of little else; AQE splits
+what skew remains.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablescout.functions import text as T
 from tablescout.operators.grouping import attach, best_row
@@ -86,48 +88,64 @@ def tfidf(df: DataFrame, key: str, terms: Column, min_df: int = 1,
     return weighted_terms(counts, vocabulary(counts, key, df, min_df, max_features), key)
 
 
-def name_vectors(names: DataFrame, key: str, lo: int = 2, hi: int = 4) -> DataFrame:
-    """One row per distinct text: (key, vec) with vec sorted by rising frequency.
+def _with_prefix(df: DataFrame, floor: float) -> DataFrame:
+    """Adds `kept`, the rarest grams, and `rem`, the norm of those left out (< floor)."""
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+    grown = lambda a, x: a["s"] + x["w"] * x["w"]
+    state = F.aggregate(
+        F.reverse("vec"), start,
+        lambda a, x: F.when(a["open"] & (grown(a, x) < floor * floor * (1 - 1e-9)),
+                            F.struct(grown(a, x).alias("s"), (a["n"] + 1).alias("n"), F.lit(True).alias("open")))
+        .otherwise(F.struct(a["s"].alias("s"), a["n"].alias("n"), F.lit(False).alias("open"))))
+    return (df.withColumn("_st", state).withColumn("rem", F.sqrt("_st.s"))
+            .withColumn("kept", F.slice("vec", F.lit(1), F.size("vec") - F.col("_st.n"))).drop("_st"))
 
-    The terms of a text are counted, weighted and normalised inside its row, so
-    only the gram statistics are shuffled. `idf` joins by gram once.
-    """
-    counts = term_counts(names, key, char_wb_grams(F.col(key), lo, hi))
-    w = weighted_terms(counts, vocabulary(counts, key, names), key)
-    return w.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("df", "term", "w"))).alias("vec"))
 
+def _grams_of(df: DataFrame, key: str, col: str, weight: str, *extra: str) -> DataFrame:
+    return df.select(key, *extra, F.explode(col).alias("g")).select(
+        key, *extra, "g.term", F.col("g.w").alias(weight))
 
-def _kept(vec: Column, floor: float) -> Column:
-    """Rarest grams up to the point where the rest cannot reach the floor.
 
-    Walking from the frequent end, grams whose joint norm stays below the floor
-    are left out: a pair sharing only those has a cosine below the floor.
-    """
-    state = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
-    limit = floor * floor * (1 - 1e-9)
-    dropped = F.aggregate(
-        F.reverse(vec), state,
-        lambda a, x: F.when((a["s"] >= 0) & (a["s"] + x["w"] * x["w"] < limit),
-                            F.struct((a["s"] + x["w"] * x["w"]).alias("s"), (a["n"] + 1).alias("n")))
-        .otherwise(F.struct(F.lit(-1.0).alias("s"), a["n"].alias("n"))))
-    return F.slice(vec, F.lit(1), F.size(vec) - dropped["n"])
+def _score(pairs: DataFrame, q: DataFrame, c: DataFrame) -> DataFrame:
+    """Full cosine of the given pairs; each side brings its whole vector."""
+    table = F.map_from_entries(F.transform("vec", lambda x: F.struct(x["term"], x["w"])))
+    j = (pairs.join(q.select("q", F.col("vec").alias("qv")), "q")
+         .join(c.select("c", table.alias("cm")), "c"))
+    dot = F.aggregate("qv", F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(
+        F.element_at("cm", x["term"]), F.lit(0.0)))
+    return j.select(*pairs.columns, dot.alias("sim"))
 
 
-def _dot(a: Column, b: Column) -> Column:
-    """Cosine of two unit vectors held as term arrays."""
-    table = F.map_from_entries(F.transform(b, lambda x: F.struct(x["term"], x["w"])))
-    return F.aggregate(a, F.lit(0.0),
-                       lambda s, x: s + x["w"] * F.coalesce(F.element_at(table, x["term"]), F.lit(0.0)))
+def _best(scored: DataFrame) -> DataFrame:
+    """Highest similarity per query; equal scores (to 9 digits) go to the smallest name."""
+    keep = [c for c in scored.columns if c not in ("q", "c", "sim")]
+    return best_row(scored.withColumn("_o", -F.round("sim", 9)), ["q"], ["_o", "c"], ["c", "sim"] + keep)
 
 
-def _scored(pairs: DataFrame, q: DataFrame, c: DataFrame) -> DataFrame:
-    full = pairs.join(q.withColumnRenamed("vec", "qv"), "q").join(c.withColumnRenamed("vec", "cv"), "c")
-    return full.select("q", "c", _dot(F.col("qv"), F.col("cv")).alias("sim"))
+def _side_vectors(queries: DataFrame, catalog: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """(q, vec) and (c, vec) over one vocabulary, vec sorted by rising gram frequency."""
+    sides = (queries.select(F.concat(F.lit("q"), text).alias("k")).distinct()
+             .unionByName(catalog.select(F.concat(F.lit("c"), text).alias("k")).distinct())
+             .filter("length(k) > 1"))
+    grams = char_wb_grams(F.substring("k", F.lit(2), F.length("k")))
+    vecs = cut_lineage(_sorted_vectors(sides, "k", grams))
+    split = lambda s: vecs.filter(F.startswith("k", F.lit(s))).select(
+        F.substring("k", F.lit(2), F.length("k")).alias(s), "vec")
+    return split("q"), split("c")
 
 
-def _best(scored: DataFrame) -> DataFrame:
-    """Highest similarity per query; equal scores (to 9 digits) go to the smallest name."""
-    return best_row(scored.withColumn("_o", -F.round("sim", 9)), ["q"], ["_o", "c"], ["c", "sim"])
+def _sorted_vectors(docs: DataFrame, key: str, terms: Column) -> DataFrame:
+    """Like `tfidf`, but one row per key; the norm is taken inside the array."""
+    counts = term_counts(docs, key, terms)
+    raw = counts.join(vocabulary(counts, key, docs), "term")
+    g = raw.groupBy(key).agg(F.sort_array(F.collect_list(
+        F.struct("df", "term", (F.col("tf") * F.col("idf")).alias("w")))).alias("raw"))
+    g = g.withColumn("norm", F.sqrt(F.aggregate("raw", F.lit(0.0), lambda s, x: s + x["w"] * x["w"])))
+    return g.select(key, F.transform("raw", lambda x: F.struct(
+        x["df"].alias("df"), x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))).alias("vec"))
+
+
+PREFIX_NORM = 0.3
 
 
 def nearest_neighbours(queries: DataFrame, catalog: DataFrame, text: str = "light",
@@ -135,52 +153,43 @@ def nearest_neighbours(queries: DataFrame, catalog: DataFrame, text: str = "ligh
     """(q, c, similarity) with similarity on a 0-100 scale.
 
     Names below the floor get no row unless `complete` is set. The vocabulary
-    is fitted on both sides together, duplicates included once per side.
+    is fitted on the distinct names of both sides together.
     """
-    q0 = queries.select(F.col(text).alias("q")).filter("q <> ''").distinct()
-    c0 = catalog.select(F.col(text).alias("c")).filter("c <> ''").distinct()
-    sides = q0.select(F.lit("q").alias("side"), F.col("q").alias("t")).unionByName(
-        c0.select(F.lit("c").alias("side"), F.col("c").alias("t")))
-    both = sides.select(F.concat_ws("\x01", "side", "t").alias("k"), "side", "t")
-    counts = (both.select("k", F.explode(char_wb_grams(F.col("t"))).alias("term"))
-              .groupBy("k", "term").agg(F.count("*").cast("double").alias("tf")))
-    w = weighted_terms(counts, vocabulary(counts, "k", both), "k")
-    vecs = cut_lineage(
-        w.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("df", "term", "w"))).alias("vec"))
-        .select(F.substring_index("k", "\x01", 1).alias("side"),
-                F.substring("k", F.lit(3), F.length("k")).alias("t"), "vec"))
-    q = vecs.filter("side = 'q'").select(F.col("t").alias("q"), "vec")
-    c = vecs.filter("side = 'c'").select(F.col("t").alias("c"), "vec")
+    q, c = _side_vectors(queries, catalog, text)
     same = q.select("q").join(c.select(F.col("c").alias("q")), "q").select(
         "q", F.col("q").alias("c"), F.lit(1.0).alias("sim"))
-    rest = q.join(same.select("q"), "q", "left_anti")
-    if floor > 0:
-        pairs = (rest.select("q", F.explode(_kept(F.col("vec"), floor)).alias("g")).select("q", "g.term")
-                 .join(c.select("c", F.explode(_kept(F.col("vec"), floor)).alias("g")).select("c", "g.term"), "term")
-                 .select("q", "c").distinct())
-        found = _best(_scored(pairs, rest, c).filter(F.col("sim") >= floor))
-    else:
-        found = same.limit(0)
-    out = same.unionByName(found)
-    if complete or floor <= 0:
-        if floor > 0:
-            out = cut_lineage(out)
-            rest = rest.join(out.select("q"), "q", "left_anti")
-        left = rest.select("q", F.explode("vec").alias("g")).select("q", "g.term", F.col("g.w").alias("wq"))
-        right = c.select("c", F.explode("vec").alias("g")).select("c", "g.term", F.col("g.w").alias("wc"))
-        scored = left.join(right, "term").groupBy("q", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("sim"))
-        out = out.unionByName(_best(scored))
-    return out.select("q", "c", (F.col("sim") * 100).alias("similarity"))
+    rest = _with_prefix(q.join(same.select("q"), "q", "left_anti"), min(floor, PREFIX_NORM) if floor > 0 else PREFIX_NORM)
+    parts = (_grams_of(rest, "q", "kept", "wq", "rem").join(_grams_of(c, "c", "vec", "wc"), "term")
+             .groupBy("q", "rem", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("part")))
+    lower = F.max("part").over(W.partitionBy("q"))
+    bar = lower if complete else F.greatest(lower, F.lit(floor))
+    hopeful = (parts.withColumn("bar", bar).filter(F.col("part") + F.col("rem") >= F.col("bar") - 1e-9)
+               .select("q", "rem", "c"))
+    found = _best(_score(hopeful, rest, c))
+    if not complete:
+        sure = found.filter(F.col("sim") >= floor)
+        return _as_percent(same.unionByName(sure.select("q", "c", "sim")))
+    found = cut_lineage(found)
+    sure = same.unionByName(found.filter("sim >= rem").select("q", "c", "sim"))
+    open_q = rest.join(sure.select("q"), "q", "left_anti")
+    wide = (_grams_of(open_q, "q", "vec", "wq").join(_grams_of(c, "c", "vec", "wc"), "term")
+            .groupBy("q", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("sim")))
+    return _as_percent(sure.unionByName(_best(wide).select("q", "c", "sim")))
+
+
+def _as_percent(nn: DataFrame) -> DataFrame:
+    return nn.select("q", "c", (F.col("sim") * 100).alias("similarity"))
 
 
 def similar_pairs(names: DataFrame, text: str, floor: float) -> DataFrame:
     """Undirected edges (a < b) between names with cosine at or above the floor."""
-    v = cut_lineage(name_vectors(names.select(F.col(text).alias("t")).filter("t <> ''").distinct(), "t"))
-    kept = v.select("t", F.explode(_kept(F.col("vec"), floor)).alias("g")).select("t", "g.term")
-    a, b = kept.select(F.col("t").alias("q"), "term"), kept.select(F.col("t").alias("c"), "term")
-    pairs = a.join(b, "term").filter("q < c").select("q", "c").distinct()
-    scored = _scored(pairs, v.select(F.col("t").alias("q"), "vec"), v.select(F.col("t").alias("c"), "vec"))
-    return scored.filter(F.col("sim") >= floor).select(F.col("q").alias("a"), F.col("c").alias("b"), "sim")
+    docs = names.select(F.col(text).alias("t")).filter("t <> ''").distinct()
+    v = _with_prefix(cut_lineage(_sorted_vectors(docs, "t", char_wb_grams(F.col("t")))), min(floor, PREFIX_NORM))
+    q, c = v.withColumnRenamed("t", "q"), v.select(F.col("t").alias("c"), "vec")
+    parts = (_grams_of(q, "q", "kept", "wq", "rem").join(_grams_of(c, "c", "vec", "wc"), "term").filter("q < c")
+             .groupBy("q", "rem", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("part"))
+             .filter(F.col("part") + F.col("rem") >= floor - 1e-9).select("q", "c"))
+    return _score(parts, q, c).filter(F.col("sim") >= floor).select(F.col("q").alias("a"), F.col("c").alias("b"), "sim")
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str, max_rounds: int = 60) -> DataFrame:
