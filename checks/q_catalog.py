@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
 from checks import adapters as A, sqltext as S
@@ -12,8 +9,8 @@ from checks.q_names import CANON, _raw_words
 from checks.registry import register
 from tablescout.functions import rules as R, text as T, vocabulary as V
 from tablescout.operators import catalog as C, decisions as DE, labels as L, splits as SP
-from tablescout.operators.grouping import top_k
 from tablescout.plans import flows
+from tablescout.session import scratch_dir
 from tablescout.sources import files, registry as REG, schema_scan, tables
 
 TRUE_W = "pii IN ('TRUE')"
@@ -305,12 +302,8 @@ SELECT (SELECT count(*) FROM k) AS known, count(*) AS seen, count(*) FILTER (WHE
 register("s1_full_scan", lambda s, d: tables.read_table(s, f"{d}/supplier.parquet"), "SELECT * FROM supplier")
 
 
-def _scratch() -> str:
-    return tempfile.mkdtemp(prefix="tablescout-check-")
-
-
 def _overwrite(s, d):
-    path = os.path.join(_scratch(), "t")
+    path = f"{scratch_dir(s)}/t"
     for _ in range(2):
         tables.overwrite_table(A.table(s, d, "orders"), path, partition_by=["o_orderstatus"])
     return tables.read_table(s, path).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
@@ -320,7 +313,7 @@ register("s2_overwrite_table", _overwrite, "SELECT o_orderstatus, count(*) AS n
 
 
 def _csv(s, d):
-    path = os.path.join(_scratch(), "t")
+    path = f"{scratch_dir(s)}/t"
     A.table(s, d, "conversations").select(F.col("conv_id").cast("string").alias(" conv_id "), F.col("role").alias("role ")).write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
     return files.read_csv(s, path)
 
@@ -361,7 +354,7 @@ register("s11_object_listing", lambda s, d: A.objects(s, d).groupBy(F.substring_
 
 
 def _list_files(s, d):
-    path = os.path.join(_scratch(), "t")
+    path = f"{scratch_dir(s)}/t"
     A.table(s, d, "customer").repartition(4).write.parquet(path)
     o = tables.list_objects(s, path).filter("path LIKE '%.parquet'")
     return o.agg(F.count("*").alias("n"), (F.min("size") > 0).alias("sized"), (F.min("lastModified") > 0).alias("stamped"))
@@ -371,7 +364,7 @@ register("s11_binary_listing", _list_files)
 
 
 def _activity_files(s, d):
-    path = _scratch()
+    path = scratch_dir(s)
     A.projects(s, d).write.json(f"{path}/p")
     A.jobs(s, d).write.json(f"{path}/j")
     A.timeline(s, d).write.json(f"{path}/t")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
 from checks import adapters as A, sqltext as S
@@ -13,7 +10,7 @@ from checks.q_names import DECIDED
 from checks.registry import register
 from tablescout.functions import vocabulary as V
 from tablescout.operators import evaluate as E, features as FT, splits as SP
-from tablescout.sources import files
+from tablescout.session import scratch_dir
 from tablescout.streaming import streams as ST
 
 W = f"WITH {A.SCORED}"
@@ -168,12 +165,8 @@ register("m12_balanced_weights", lambda s, d: FT.balanced_weights(A.docs(s, d),
          f"WITH {A.DOCS} SELECT type, round((SELECT count(*) FROM docs) / ((SELECT count(DISTINCT type) FROM docs) * count(*)::DOUBLE), 6) AS class_weight FROM docs GROUP BY 1")
 
 # ---- streams ---------------------------------------------------------------------------
-def _scratch():
-    return tempfile.mkdtemp(prefix="tablescout-check-")
-
-
 def _stream_scores(s, d):
-    root = _scratch()
+    root = scratch_dir(s)
     A.coded(s, d).select("id", "name", "prob").repartition(4).write.parquet(f"{root}/in")
     src = s.readStream.schema("id long, name string, prob double").parquet(f"{root}/in")
     ST.run_available(ST.score_names(src), f"{root}/out", f"{root}/ckpt")
@@ -190,7 +183,7 @@ register("a33_drift_windows", lambda s, d: _day(ST.drift_windows(A.events(s, d))
 
 
 def _stream_drift(s, d):
-    root = _scratch()
+    root = scratch_dir(s)
     A.events(s, d).repartitionByRange(3, "ts").sortWithinPartitions("ts").write.parquet(f"{root}/in")
     src = s.readStream.schema("event_id long, ts timestamp, prob double, entity string").parquet(f"{root}/in")
     ST.run_available(ST.watermarked_drift(src), f"{root}/out", f"{root}/ckpt")

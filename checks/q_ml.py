@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from checks import adapters as A, sqltext as S
-from checks.q_catalog import BIN, CAT, DEF, _bin, _deficit_rows
+from checks.q_catalog import CAT, DEF, _deficit_rows
 from checks.registry import register
-from tablescout.functions import rules as R, text as T, vocabulary as V
+from tablescout.functions import text as T, vocabulary as V
 from tablescout.operators import augment as AU, catalog as C, evaluate as E, features as FT, labels as L, models as M, textsim as X
 from tablescout.operators.grouping import attach
+from tablescout.operators.splits import bucket
 from tablescout.plans import flows
-from tablescout.session import cut_lineage
-from tablescout.sources import artefacts, files
+from tablescout.session import cut_lineage, scratch_dir
+from tablescout.sources import artefacts
 
 # ---- grams -----------------------------------------------------------------------
 _light_names = lambda s, d: A.gold(s, d).select(T.normalize_light("name").alias("light")).filter("light <> ''").distinct()
@@ -182,7 +179,6 @@ _small = dict(min_df=2, char_features=1500, word_features=300)
 
 
 def _hold(rows):
-    from tablescout.operators.splits import bucket
     return rows.filter(bucket(F.col("group"), 5) != 0), rows.filter(bucket(F.col("group"), 5) == 0)
 
 
@@ -220,7 +216,6 @@ def _masked(s, d):
     rows = A.docs(s, d).withColumn("name_norm", T.normalize_name("dataset")).withColumn("has_description", F.lit(1))
     rows = rows.withColumn("grams", X.char_wb_grams(F.col("name_norm"))).withColumn("words", X.word_tokens(F.col("description"), 1))
     rows = cut_lineage(rows.select("id", "y", "grams", "words", "has_description", "n_chars"))
-    from tablescout.operators.splits import bucket
     tr, te = rows.filter(bucket(F.col("id"), 5) != 0), rows.filter(bucket(F.col("id"), 5) == 0)
     hide = FT.masked(F.col("id"), 0.6)
     empty = F.array().cast("array<string>")
@@ -291,15 +286,15 @@ register("m28_pool_enrichment", _m28)
 
 def _artefacts(s, d):
     """Save and reload a fitted feature model and its threshold, then score again."""
-    root = tempfile.mkdtemp(prefix="tablescout-check-")
+    root = scratch_dir(s)
     r = _train_rows(s, d)
     fitted = M.fit_features(r, NUMERIC, **_small)
-    artefacts.save_model(fitted, os.path.join(root, "model"))
-    artefacts.save_parameters(artefacts.override_threshold(artefacts.parameters(s, 0.5), 0.75, "piloto"), os.path.join(root, "params"))
-    again = artefacts.load_model(os.path.join(root, "model")).transform(r).select("name_norm", M.vector_to_array("features").alias("b"))
+    artefacts.save_model(fitted, f"{root}/model")
+    artefacts.save_parameters(artefacts.override_threshold(artefacts.parameters(s, 0.5), 0.75, "piloto"), f"{root}/params")
+    again = artefacts.load_model(f"{root}/model").transform(r).select("name_norm", M.vector_to_array("features").alias("b"))
     both = fitted.transform(r).select("name_norm", M.vector_to_array("features").alias("a")).join(again, "name_norm")
     check = both.agg(F.count("*").alias("n"), F.sum((F.col("a") == F.col("b")).cast("long")).alias("same"))
-    return attach(check, artefacts.load_parameters(s, os.path.join(root, "params")))
+    return attach(check, artefacts.load_parameters(s, f"{root}/params"))
 
 
 register("s13_model_artefacts", _artefacts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -37,6 +39,18 @@ def is_bundle(path: Column, flow: Column) -> Column:
                       .otherwise(zipped | nested), F.lit(False))
 
 
+def bundle_pattern(root: str) -> str:
+    """One pattern for every path that parses and passes the bundle test.
+
+    It can be evaluated on the raw path, next to the scan, before any parsing.
+    """
+    r = re.escape(root)
+    new = rf"{r}/[^/]*/[^/]*/[^/]*/.*\.(?i:zip)"
+    listed = rf"{r}/project_bundles/[^/]*(?:/[^/]*)?"
+    other = rf"(?!{r}/)[^/]+/.*[^/]/*"
+    return rf"(?s)^/*(?:{new}|{listed}|{other})$"
+
+
 def path_id(path: Column) -> Column:
     return F.md5(path)
 

@@ -6,7 +6,7 @@ rows; ranks pick the first variants per entity up to the class deficit.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablescout.functions import rules as R, text as T, vocabulary as V
 from tablescout.operators.catalog import deficit_table
@@ -113,14 +113,14 @@ def lexicon_synthesis(base: DataFrame, lexicon: DataFrame | None = None, target:
         made = made.filter(~((F.col("entity") == entity) & T.contains_any(F.col("light"), anti)))
     once = best_row(made, ["light"], ["e_ord", "t_ord", "v_ord", "name", "entity"],
                     ["entity", "e_ord", "t_ord", "v_ord", "name"])
-    # the candidate side is the fixed lexicon; the base is reduced to its keys
-    known = base.select(T.normalize_light("name").alias("light")).distinct()
+    # the candidates come from the fixed lexicon, so the base is searched for them
+    known = (base.select(T.normalize_light("name").alias("light"))
+             .join(F.broadcast(once.select("light")), "light", "left_semi").distinct())
     fresh = once.join(known, "light", "left_anti").join(have, "entity", "left")
     picked = (top_k(fresh, ["entity"], [F.asc("t_ord"), F.asc("v_ord")], target)
               .filter(F.col("rn") <= F.greatest(F.lit(target) - F.coalesce("have", F.lit(0)), F.lit(0))))
     total = base.agg(F.floor(F.count("*") * F.lit(share)).alias("cap"))
     # at most lexicon size rows: a single ordered window is bounded
-    from pyspark.sql import Window as W
     capped = attach(picked.withColumn("n", F.row_number().over(W.orderBy("e_ord", "t_ord", "v_ord"))), total)
     return capped.filter("n <= cap").select("name", "entity", F.lit("sintetico").alias("label_source"),
                                             F.lit(V.LEXICON_WEIGHT).alias("w"))

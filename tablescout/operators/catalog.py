@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablescout.functions import rules as R, scores as S, text as T, vocabulary as V
+from tablescout.operators.evaluate import cumulative_counts
 from tablescout.operators.grouping import attach, first_values, most_common
 
 
@@ -42,8 +43,8 @@ def coverage_summary(matches: DataFrame) -> DataFrame:
     by = matches.groupBy(S.similarity_bucket(F.col("similarity")).alias("bucket")).agg(
         F.count("*").alias("n"), F.sum("n_rows").alias("rows"))
     total = by.agg(F.sum("n").alias("tn"), F.sum("rows").alias("tr"))
-    stats = matches.agg(F.round(F.avg("similarity"), 1).alias("mean"),
-                        F.round(F.expr("percentile(similarity, 0.5)"), 1).alias("median"))
+    mean = matches.agg(F.round(F.avg("similarity"), 1).alias("mean"))
+    stats = attach(mean, exact_median(matches, "similarity").select(F.round("median", 1).alias("median")))
     return (attach(attach(by, total), stats)
             .select("bucket", "n", "rows",
                     F.round(100.0 * F.col("n") / F.col("tn"), 1).alias("pct_names"),
@@ -51,6 +52,14 @@ def coverage_summary(matches: DataFrame) -> DataFrame:
                     "mean", "median"))
 
 
+def exact_median(df: DataFrame, value: str) -> DataFrame:
+    """Median of any number of values: counts per distinct value, then a sliced running sum."""
+    c = cumulative_counts(df.filter(F.col(value).isNotNull()).withColumn("_one", F.lit(1)), value, "_one")
+    from_top = lambda k: F.max(F.when(F.col("hit") >= F.col("p") - k + 1, F.col("score")))
+    low, high = F.floor((F.col("p") + 1) / 2), F.ceil((F.col("p") + 1) / 2)
+    return c.agg(((from_top(low) + from_top(high)) / 2).alias("median"))
+
+
 def threshold_shares(matches: DataFrame, thresholds=V.COVERAGE_THRESHOLDS) -> DataFrame:
     """Percent of names at or above each similarity, in one pass."""
     wide = matches.agg(*[F.avg((F.col("similarity") >= t).cast("double")).alias(f"t{t}")

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablescout.functions import rules as R, scores as S, text as T, vocabulary as V
 from tablescout.operators import evaluate as E
 from tablescout.operators.features import balanced_weights, imbalance_weight
+from tablescout.operators.grouping import attach
 from tablescout.operators.splits import fold_of
 from tablescout.operators.textsim import char_wb_grams, word_tokens
 from tablescout.session import cut_lineage
@@ -79,7 +80,7 @@ def entity_estimator(kind: str = "multinomial", weight: str | None = None, max_i
     raise ValueError(kind)
 
 
-def raw_score(df: DataFrame, kind: str) -> Column:
+def raw_score(df: DataFrame) -> Column:
     """Probability of the positive class, or the margin where there is none."""
     col = "probability" if "probability" in df.columns else "rawPrediction"
     return vector_to_array(F.col(col))[1]
@@ -94,7 +95,7 @@ class BinaryModel:
     def score(self, df: DataFrame, out: str = "prob") -> DataFrame:
         keep = df.columns
         s = self.classifier.transform(self.features.transform(df))
-        s = s.withColumn("_raw", raw_score(s, ""))
+        s = s.withColumn("_raw", raw_score(s))
         if self.calibrator is not None:
             a, b = float(self.calibrator.coefficients[0]), float(self.calibrator.intercept)
             value = 1 / (1 + F.exp(-(F.col("_raw") * a + b)))
@@ -199,7 +200,6 @@ def compare_candidates(train: DataFrame, test: DataFrame, kinds: list[str], thre
         scored = cut_lineage(model.score(test, "prob").select("prob", "y"))
         row = E.confusion(scored, "prob", "y", threshold, 3)
         loss = E.brier(scored, "prob", "y")
-        from tablescout.operators.grouping import attach
         parts.append(attach(row, loss).withColumn("modelo", F.lit(kind)))
     return reduce(lambda a, b: a.unionByName(b), parts).orderBy(F.desc("recall"), F.desc("f1"), "modelo")
 

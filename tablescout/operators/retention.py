@@ -13,11 +13,11 @@ GROUP = ["flow", "env", "nickname", "proyecto"]
 
 
 def bundle_scan(objects: DataFrame, root: str, ref: Column, cutoff_days: int = V.DEFAULT_CUTOFF_DAYS) -> DataFrame:
-    """Parsed bundles older than the cut-off. Age filters first, next to the scan."""
+    """Parsed bundles older than the cut-off; age and path are tested before parsing."""
     aged = (objects.withColumn("creado", D.from_millis(F.col("lastModified")))
-            .filter(D.older_than(F.col("creado"), ref, max(0, int(cutoff_days)))))
+            .filter(D.older_than(F.col("creado"), ref, max(0, int(cutoff_days)))
+                    & F.col("path").rlike(P.bundle_pattern(root))))
     return (P.with_bundle_fields(aged, "path", root)
-            .filter(F.col("flow").isNotNull() & P.is_bundle(F.col("path"), F.col("flow")))
             .select(P.path_id(F.col("path")).alias("id"), F.col("path").alias("s3_path"), *GROUP, "filename", "creado",
                     F.date_format("creado", "yyyy-MM-dd HH:mm:ss").alias("fecha_creacion_s3"),
                     P.megabytes(F.col("size")).alias("size")))

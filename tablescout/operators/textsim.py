@@ -145,7 +145,7 @@ def _sorted_vectors(docs: DataFrame, key: str, terms: Column) -> DataFrame:
         x["df"].alias("df"), x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))).alias("vec"))
 
 
-PREFIX_NORM = 0.3
+PREFIX_NORM = 0.4  # left-out norm; smaller looks up more grams, larger prunes less
 
 
 def nearest_neighbours(queries: DataFrame, catalog: DataFrame, text: str = "light",
@@ -161,6 +161,8 @@ def nearest_neighbours(queries: DataFrame, catalog: DataFrame, text: str = "ligh
     rest = _with_prefix(q.join(same.select("q"), "q", "left_anti"), min(floor, PREFIX_NORM) if floor > 0 else PREFIX_NORM)
     parts = (_grams_of(rest, "q", "kept", "wq", "rem").join(_grams_of(c, "c", "vec", "wc"), "term")
              .groupBy("q", "rem", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("part")))
+    if not complete:  # most pairs end here, before anything is ranked
+        parts = parts.filter(F.col("part") + F.col("rem") >= floor - 1e-9)
     lower = F.max("part").over(W.partitionBy("q"))
     bar = lower if complete else F.greatest(lower, F.lit(floor))
     hopeful = (parts.withColumn("bar", bar).filter(F.col("part") + F.col("rem") >= F.col("bar") - 1e-9)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +45,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
+    """A fresh folder every executor can reach: below spark.checkpoint.dir on a cluster."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/tablescout-{name}-{uuid.uuid4().hex}"
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix=f"tablescout-{name}-")
+    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -10,14 +10,15 @@ BOM = "﻿"
 BROKEN = "�"
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header row, UTF-8 with an optional BOM, Latin-1 where UTF-8 does not decode.
 
     Every value is text; callers cast. The encoding test stops at the first
-    undecodable line.
+    undecodable line. `multi_line` allows line breaks inside quotes, at the
+    price of files that cannot be split.
     """
     def load(encoding: str) -> DataFrame:
-        return (spark.read.option("header", True).option("encoding", encoding).option("multiLine", True)
+        return (spark.read.option("header", True).option("encoding", encoding).option("multiLine", multi_line)
                 .option("quote", '"').option("escape", '"').csv(path))
 
     broken = spark.read.text(path).filter(F.col("value").contains(BROKEN)).limit(1)
