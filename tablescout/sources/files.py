@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tablescout.functions import text as T, vocabulary as V
 
 BOM = "﻿"
-BROKEN = "�"
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -21,7 +20,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
         return (spark.read.option("header", True).option("encoding", encoding).option("multiLine", multi_line)
                 .option("quote", '"').option("escape", '"').csv(path))
 
-    broken = spark.read.text(path).filter(F.col("value").contains(BROKEN)).limit(1)
+    broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1)
     df = load("ISO-8859-1" if broken.take(1) else "UTF-8")
     return df.toDF(*[c.lstrip(BOM).removeprefix("ï»¿").strip() for c in df.columns])
 
