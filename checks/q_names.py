@@ -208,13 +208,13 @@ m AS (SELECT *, {S.keyword('k', V.FALLBACK_JUDGE)} AS f1, {S.keyword('k', V.FALL
 SELECT id, name, CASE WHEN prob_entity < 0.5 AND f1 IS NOT NULL THEN f1 ELSE entity_ml END AS judge,
   CASE WHEN prob_entity < 0.5 AND f2 IS NOT NULL THEN f2 ELSE entity_ml END AS scoring FROM m""")
 
-KEYS = f"""@SRC@, k0 AS (SELECT *, {S.dotted('name')} AS cl FROM @TAB@), k1 AS (SELECT *, {S.parts('cl')} AS ps FROM k0),
+KEYS = f"""@SRC@, k0 AS (SELECT *, {S.dotted('name')} AS cl FROM @TAB@), k1 AS MATERIALIZED (SELECT *, {S.parts('cl')} AS ps FROM k0),
 keys AS (SELECT *, CASE WHEN len(ps) > 0 THEN array_to_string(ps, ' ') ELSE cl END AS fk, CASE WHEN len(ps) > 0 THEN ps[-1] ELSE cl END AS lt FROM k1),
-ruled AS (SELECT *, (fk IN ({S.strs(V.SYSTEM_FIELDS)}) OR lt IN ({S.strs(V.SYSTEM_FIELDS)})) AND NOT {S.any_of('fk', V.SYSTEM_FIELD_GUARDS)} AS excluded,
+ruled AS MATERIALIZED (SELECT *, (fk IN ({S.strs(V.SYSTEM_FIELDS)}) OR lt IN ({S.strs(V.SYSTEM_FIELDS)})) AND NOT {S.any_of('fk', V.SYSTEM_FIELD_GUARDS)} AS excluded,
   {S.typo('fk')} IN ({S.strs(V.EXACT_KEYS)}) OR {S.typo('lt')} IN ({S.strs(V.EXACT_KEYS)}) AS exacto,
   ' ' || {S.typo('fk')} || ' ' || {S.typo('lt')} || ' ' AS rk,
   ' ' || replace(fk, '_', ' ') || ' ' || replace(lt, '_', ' ') || ' ' AS sk, ' ' || replace(fk, '_', ' ') || ' ' AS bk FROM keys),
-levels AS (SELECT *, {S.keyword('rk', V.RARE_RULES)} AS raro, {S.keyword('sk', V.RESCUE_RULES, spaced=True)} AS rescate,
+levels AS MATERIALIZED (SELECT *, {S.keyword('rk', V.RARE_RULES)} AS raro, {S.keyword('sk', V.RESCUE_RULES, spaced=True)} AS rescate,
   {S.keyword('bk', V.FALLBACK_PAGE, allowed=V.ENTITY_CLASSES)} AS fallback FROM ruled)"""
 NAME_KEYS = "WITH " + S.fill(KEYS, SRC=A.NAMES, TAB="names")
 on = lambda c: (lambda s, d: DE.with_rule_levels(DE.with_dotted_keys(A.names(s, d))).select("name", F.col(c).alias("v")))
@@ -227,7 +227,7 @@ DECIDED = "WITH " + S.fill(KEYS, SRC=A.CODED, TAB="coded") + """,
 motive AS (SELECT *, CASE WHEN fk = '' THEN CASE WHEN prob >= 0.667 THEN 'modelo' ELSE '' END WHEN excluded THEN 'exclusion_sistema'
   WHEN prob >= 0.667 THEN 'modelo' WHEN exacto THEN 'exacto' WHEN raro IS NOT NULL THEN 'raro'
   WHEN prob >= 0.15 AND rescate IS NOT NULL THEN 'fuzzy' ELSE '' END AS reason FROM levels),
-decided AS (SELECT *, reason NOT IN ('', 'exclusion_sistema') AS pii,
+decided AS MATERIALIZED (SELECT *, reason NOT IN ('', 'exclusion_sistema') AS pii,
   CASE reason WHEN 'exacto' THEN coalesce(rescate, fallback) WHEN 'raro' THEN raro WHEN 'fuzzy' THEN rescate END AS prior_entity,
   round_even(CASE reason WHEN 'exclusion_sistema' THEN 0.0 WHEN 'exacto' THEN greatest(prob, 0.95) WHEN 'raro' THEN greatest(prob, 0.9)
     WHEN 'fuzzy' THEN greatest(prob, 0.8) ELSE prob END::DOUBLE, 4) AS p FROM motive)"""
