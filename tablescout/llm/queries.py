@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescout.llm import line_dedup
+from tablescout.llm import line_dedup, topk, url_filter
 from tablescout.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,61 @@ FROM k LEFT JOIN hot ON k.key = hot.key GROUP BY k.doc_id"""
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
     return d.select(F.col("_row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3 = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
+
+
+@query("op3_exact_top_k", OP3)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def _url_sql() -> str:
+    """The template tree as one DuckDB statement, level by level."""
+    u = url_filter
+    rules = sorted(URL_RULES, key=lambda r: -len(r[1]))
+    fits = lambda t: "((host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '/{1}'))".format(*t.split("/", 1))
+    case = lambda f: "CASE " + " ".join(f"WHEN {fits(t)} THEN '{f(a, t)}'" for a, t in rules) + " END"
+    ctes = [rf"""u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)""",
+            rf"""hp AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+              regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)""",
+            rf"""r AS (SELECT *, {case(lambda a, t: t)} AS rule, {case(lambda a, t: a)} AS action,
+              list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x:
+                regexp_replace(regexp_replace(x, '[0-9a-f]{{12,}}', '*', 'g'), '[0-9]+', '*', 'g')) AS s FROM hp)""",
+            rf"""p AS (SELECT *, CASE WHEN len(s) > {u.DEPTH} THEN list_append(s[1:{u.DEPTH}], '*') ELSE s END AS seg FROM r)""",
+            """t0 AS (SELECT host, seg AS raw, seg, count(*) AS n, count(action) AS labelled, count(*) FILTER (WHERE action = 'block') AS bad
+              FROM p GROUP BY host, seg)"""]
+    for d in range(1, u.DEPTH + 1):
+        ctes += [f"""n{d} AS (SELECT host, seg[1:{d - 1}] AS parent, seg[{d}] AS child, sum(n) AS n FROM t{d - 1} WHERE len(seg) >= {d} GROUP BY ALL)""",
+                 f"""m{d} AS (SELECT host, parent, sum(n) AS total FROM n{d} GROUP BY ALL HAVING count(*) > {u.MAX_CHILDREN})""",
+                 f"""v{d} AS (SELECT n{d}.* FROM n{d} JOIN m{d} USING (host, parent) WHERE n{d}.n * {u.MAX_CHILDREN} < total)""",
+                 f"""t{d} AS (SELECT t.host, raw, CASE WHEN v.child IS NULL THEN seg
+                   ELSE list_concat(seg[1:{d - 1}], ['*'], seg[{d + 1}:]) END AS seg, t.n, labelled, bad
+                   FROM t{d - 1} t LEFT JOIN v{d} v ON t.host = v.host AND len(seg) >= {d} AND seg[1:{d - 1}] = v.parent AND seg[{d}] = v.child)"""]
+    last, a, b = f"t{u.DEPTH}", u.STRENGTH, u.STRENGTH * u.PRIOR
+    noise = lambda p, n: f"{p} * (1 - {p}) / ({n} + {a})"
+    ctes += [f"leaf AS (SELECT host, seg, seg[1:greatest(len(seg) - 1, 0)] AS parent, sum(labelled) AS labelled, sum(bad) AS bad FROM {last} GROUP BY ALL HAVING sum(labelled) > 0)",
+             f"rated AS (SELECT *, (bad + {b}::DOUBLE) / (labelled + {a}::DOUBLE) AS rate FROM leaf)",
+             "was AS (SELECT *, lag(rate) OVER w AS was, lag(labelled) OVER w AS of_n FROM rated WINDOW w AS (PARTITION BY host, parent ORDER BY rate, array_to_string(seg, '/')))",
+             f"stepped AS (SELECT *, CASE WHEN rate - was > {u.SIGNIFICANT} * sqrt({noise('rate', 'labelled')} + {noise('was', 'of_n')}) THEN 1 ELSE 0 END AS step FROM was)",
+             "merged AS (SELECT *, sum(step) OVER (PARTITION BY host, parent ORDER BY rate, array_to_string(seg, '/')) AS branch FROM stepped)",
+             f"pure AS (SELECT host, parent, branch FROM merged GROUP BY ALL HAVING (sum(bad) + {b}::DOUBLE) / (sum(labelled) + {a}::DOUBLE) >= {u.REJECT}::DOUBLE)",
+             "gone AS (SELECT m.host, m.seg FROM merged m JOIN pure USING (host, parent, branch))",
+             f"j AS (SELECT t.host, t.raw, t.seg, g.host IS NOT NULL AS rejected FROM {last} t LEFT JOIN gone g ON t.host = g.host AND t.seg = g.seg)"]
+    return "WITH " + ",\n".join(ctes) + """
+SELECT page_id, p.host, path, rule, coalesce(action, CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict,
+  array_to_string(j.seg, '/') AS template FROM p JOIN j ON p.host = j.host AND p.seg = j.raw"""
+
+
+@query("op10_url_filter", _url_sql())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
