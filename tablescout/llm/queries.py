@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescout.llm import line_dedup, topk, url_filter
+from tablescout.llm import line_dedup, packing, topk, url_filter
 from tablescout.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,13 @@ SELECT page_id, p.host, path, rule, coalesce(action, CASE WHEN rejected THEN 'bl
 @query("op10_url_filter", _url_sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+@query("op7_pattern_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), size=4096, end_id=1)
