@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescout.llm import line_dedup, packing, topk, url_filter
+from tablescout.llm import line_dedup, packing, simhash, topk, url_filter
 from tablescout.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,9 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 @query("op7_pattern_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), size=4096, end_id=1)
+
+
+@query("op4_simhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, radius=4)
+    return d.select("doc_id", "fingerprint", "component_id")
