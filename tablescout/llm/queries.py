@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescout.llm import line_dedup, packing, simhash, topk, url_filter
+from tablescout.llm import line_dedup, packing, simhash, topk, toxicity, url_filter
 from tablescout.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, radius=4)
     return d.select("doc_id", "fingerprint", "component_id")
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = toxicity.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return d.select(F.col("_row.doc_id").alias("doc_id"), "held_out", "score", "predicted")
