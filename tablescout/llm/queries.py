@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescout.llm import line_dedup, packing, simhash, topk, toxicity, url_filter
+from tablescout.llm import decontaminate, line_dedup, packing, simhash, span_dedup, topk, toxicity, url_filter
 from tablescout.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = toxicity.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return d.select(F.col("_row.doc_id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+@query("op5_benchmark_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = decontaminate.matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), similarity=0.8)
+    return m.select("doc_id", "item_id", "edits", "n_words", "similarity")
+
+
+@query("op9_span_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.removed_sentences(table(spark, sf_dir, "documents").select("doc_id", "text"))
