@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tablescout.session import cut_lineage
+from tablescout.session import cut_lineage, ensure_checkpoint_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
@@ -83,3 +83,9 @@ def components(edges: DataFrame, a: str, b: str, persist=cut_lineage) -> DataFra
     stars = cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = stars.select(F.col("root").alias("node"), "root").distinct()
     return stars.union(roots)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, shared by driver and executors."""
+    ensure_checkpoint_dir(spark)
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
