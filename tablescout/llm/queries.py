@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescout.llm import decontaminate, line_dedup, packing, simhash, span_dedup, topk, toxicity, url_filter
+from tablescout.llm import decontaminate, license_scan, line_dedup, packing, simhash, span_dedup, topk, toxicity, url_filter
 from tablescout.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_span_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.removed_sentences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _license_sql() -> str:
+    """Exact containment in all windows; the templates are the only literals."""
+    s = license_scan
+    rows = [(n, name, s.size_class(len(s.words_of(t))), len(s.shingles_of(t)), x) for n, (name, t) in enumerate(s.NOTICES) for x in s.shingles_of(t)]
+    values = ", ".join("({}, '{}', {}, {}, '{}')".format(*r) for r in rows)
+    return rf"""WITH t(template, license, l, size, shingle) AS (VALUES {values}),
+  w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+  p AS (SELECT doc_id, w, len(w) AS n, unnest(range(0, len(w) - {s.WIDTH - 1})) AS p FROM w),
+  h AS (SELECT doc_id, n, p, template, license, l, size, shingle FROM p JOIN t ON array_to_string(w[p + 1:p + {s.WIDTH}], ' ') = shingle),
+  k AS (SELECT *, unnest([p // l - 1, p // l]) AS k FROM h),
+  c AS (SELECT doc_id, license, template, l, size, k, count(DISTINCT shingle) / size AS containment FROM k
+    WHERE k >= 0 AND (k = 0 OR k * l < n - l) AND p <= k * l + 2 * l - {s.WIDTH} GROUP BY doc_id, license, template, l, size, k)
+SELECT doc_id, license, max(containment) AS containment, count(DISTINCT (l, k)) AS n_windows FROM c WHERE containment >= 0.8 GROUP BY doc_id, license"""
+
+
+@query("op8_license_scan", _license_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
