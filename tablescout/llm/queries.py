@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescout.llm import decontaminate, license_scan, line_dedup, packing, simhash, span_dedup, topk, toxicity, url_filter
+from tablescout.llm import decontaminate, license_scan, line_dedup, packing, simhash, span_dedup, substring_dedup, topk, toxicity, url_filter
 from tablescout.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,9 @@ SELECT doc_id, license, max(containment) AS containment, count(DISTINCT (l, k))
 @query("op8_license_scan", _license_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_substring_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
