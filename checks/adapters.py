@@ -117,8 +117,8 @@ POOL = """pool AS (SELECT role AS dataset, 't' || turn AS type, description, nam
 
 
 def words(spark, d) -> DataFrame:
-    """Words of the labelled documents: source, language and the document's label."""
-    t = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    """Words of all documents: source, language and, where there is one, the document's label."""
+    t = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     return t.select(F.col("source").alias("dataset"), F.explode(F.split("text", r"\s+")).alias("name"),
                     F.when(F.col("toxic") == 1, F.lit("TRUE")).otherwise(F.lit("FALSE")).alias("pii"),
                     F.when(F.col("toxic") == 1, F.col("lang")).alias("entity"))
@@ -126,7 +126,7 @@ def words(spark, d) -> DataFrame:
 
 WORDS = """words AS (SELECT source AS dataset, unnest(regexp_split_to_array(text, '\\s+')) AS name,
   CASE WHEN toxic = 1 THEN 'TRUE' ELSE 'FALSE' END AS pii, CASE WHEN toxic = 1 THEN lang END AS entity
-  FROM documents JOIN labels USING (doc_id))"""
+  FROM documents LEFT JOIN labels USING (doc_id))"""
 
 
 def docs(spark, d) -> DataFrame:

@@ -263,7 +263,7 @@ def _registry(s, d):
 register("j16_registry", _registry,
          """WITH kept AS (SELECT s_suppkey AS id, CASE WHEN s_nationkey < 5 THEN 'renamed' ELSE s_name END AS nombre, CASE WHEN s_nationkey < 5 THEN 'h' ELSE 'h' || s_nationkey END AS url FROM supplier WHERE NOT s_acctbal < 0)
 SELECT * FROM kept UNION ALL SELECT m + n, nombre, url FROM (SELECT n_name AS nombre, CASE WHEN n_nationkey = 3 THEN ' ' ELSE n_name END AS url,
- row_number() OVER (ORDER BY n_name, CASE WHEN n_nationkey = 3 THEN ' ' ELSE n_name END) AS n, (SELECT max(id) FROM kept) AS m FROM nation) WHERE trim(url) <> ''""")
+ row_number() OVER (ORDER BY n_name, CASE WHEN n_nationkey = 3 THEN ' ' ELSE n_name END) AS n, (SELECT max(id) FROM kept) AS m FROM nation WHERE n_nationkey <> 3)""")
 
 # ---- ranking -------------------------------------------------------------------
 def _candidates(s, d):
@@ -314,11 +314,14 @@ register("s2_overwrite_table", _overwrite, "SELECT o_orderstatus, count(*) AS n
 
 def _csv(s, d):
     path = f"{scratch_dir(s)}/t"
-    A.table(s, d, "conversations").select(F.col("conv_id").cast("string").alias(" conv_id "), F.col("role").alias("role ")).write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    t = A.table(s, d, "conversations")
+    rows = t.select(F.col("conv_id").cast("string").alias(" conv_id "), F.col("role").alias("role "), F.trim(F.regexp_replace("text", r"[^\x20-\xff]", " ")).alias("text"))
+    for odd, encoding in ((0, "UTF-8"), (1, "ISO-8859-1")):  # a folder with files of both encodings
+        rows.filter(F.col("` conv_id `").cast("long") % 2 == odd).write.mode("append").option("header", True).option("escape", '"').option("encoding", encoding).csv(path)
     return files.read_csv(s, path)
 
 
-register("s3_read_csv", _csv, "SELECT CAST(conv_id AS VARCHAR) AS conv_id, role FROM conversations")
+register("s3_read_csv", _csv, r"SELECT CAST(conv_id AS VARCHAR) AS conv_id, role, trim(regexp_replace(text, '[^\x20-\x{ff}]', ' ', 'g')) AS text FROM conversations")
 COLS = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"], "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
         "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
         "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],

@@ -78,7 +78,7 @@ def _gate_metrics(s, d):
 GV = " UNION ALL ".join(f"SELECT {S.q(m)} AS metric, {S.q(o)} AS op, {b}::DOUBLE AS bound" for m, o, b in V.QUALITY_GATES)
 register("e11_quality_gates", _gate_metrics,
          f"""{W}, {grid_cte([0.5])}, mv AS (SELECT 'recall' AS metric, recall AS value FROM grid UNION ALL SELECT 'precision', precision FROM grid UNION ALL SELECT 'f1', f1 FROM grid
- UNION ALL SELECT 'brier', round(avg((p - y) * (p - y)), 6) FROM scored), gv AS ({GV}) SELECT metric, value, op, bound, CASE op WHEN '>=' THEN value >= bound WHEN '<=' THEN value <= bound ELSE value < bound END AS pass FROM mv JOIN gv USING (metric)""")
+ UNION ALL SELECT 'brier', round(avg((p - y) * (p - y)), 6) FROM scored), gv AS ({GV}) SELECT gv.metric, value, op, bound, coalesce(CASE op WHEN '>=' THEN value >= bound WHEN '<=' THEN value <= bound ELSE value < bound END, false) AS pass FROM gv LEFT JOIN mv ON gv.metric = mv.metric""")
 register("s9_metric_table", lambda s, d: E.long_metrics(E.macro_metrics(_s(s, d), "truth", "pred"), "value").unionByName(E.long_metrics(E.brier(_s(s, d), "p", "y"), "value")),
          f"""{W}, {CLASSES}, m AS (SELECT round(avg(f1), 6) AS a, round(avg(recall), 6) AS b, round(sum(tp) / sum(support)::DOUBLE, 6) AS c, count(*)::DOUBLE AS k FROM met)
 SELECT 'macro_f1' AS metric, 'value' AS variant, a AS value FROM m UNION ALL SELECT 'macro_recall', 'value', b FROM m UNION ALL SELECT 'accuracy', 'value', c FROM m UNION ALL SELECT 'n_classes', 'value', k FROM m

@@ -51,7 +51,7 @@ register("j1_nearest_at_floor", lambda s, d: X.nearest_neighbours(_keys(A.pool(s
          f"WITH {NN} SELECT q, c, round(sim * 100, 4) AS similarity FROM nn WHERE sim >= 0.5")
 register("j1_nearest_complete", lambda s, d: X.nearest_neighbours(_keys(A.pool(s, d)), _keys(A.gold(s, d)), "key", 0.5, True).select("q", "c", F.round("similarity", 4).alias("similarity")),
          f"WITH {NN} SELECT q, c, round(sim * 100, 4) AS similarity FROM nn")
-PER_KEY = f"""{NN}, nk AS (SELECT pk.key, pk.name, pk.n_rows, pk.pii_majority, gk.name AS vecino, gk.pii_majority AS vecino_pii, coalesce(sim * 100, 0.0) AS similarity FROM pk LEFT JOIN (SELECT * FROM nn WHERE sim >= 0.5) n ON n.q = pk.key LEFT JOIN gk ON gk.key = n.c),
+PER_KEY = f"""{NN}, nk AS (SELECT pk.key, pk.name, pk.n_rows, pk.pii_majority, gk.name AS vecino, gk.pii_majority AS vecino_pii, coalesce(sim * 100, 0.0) AS similarity FROM pk LEFT JOIN nn n ON n.q = pk.key LEFT JOIN gk ON gk.key = n.c),
 fin AS (SELECT *, CASE WHEN similarity >= 50 THEN vecino_pii ELSE pii_majority END AS pii_final, CASE WHEN similarity >= 90 THEN 'validado_21k' WHEN similarity >= 50 THEN 'evidencia_parcial' ELSE 'sin_evidencia_mantenido' END AS label_source,
  CASE WHEN similarity >= 90 THEN 1.0 WHEN similarity >= 50 THEN round_even(similarity / 100, 4) ELSE 0.3 END AS sample_weight FROM nk)"""
 TRANSFER = f"""{PER_KEY}, outp AS (SELECT p.dataset, p.name, p.pii, {S.light('p.name')} <> '' AS has_name, CASE WHEN {S.light('p.name')} <> '' THEN vecino END AS vecino, CASE WHEN {S.light('p.name')} <> '' THEN vecino_pii ELSE false END AS vecino_pii,
@@ -133,7 +133,7 @@ def _wanted(s, d):
 register("w10_round_robin_parents", lambda s, d: AU.children_of_parents(_deficit_rows(s, d).filter("entity IS NOT NULL").select("entity", F.col("name_norm").alias("parent_norm")), _wanted(s, d)),
          f"""WITH {A.GOLD}, {A.CODED}, {DEF}, po AS (SELECT DISTINCT entity, name_norm FROM dr WHERE entity IS NOT NULL), need AS (SELECT entity, greatest(30 - count(*), 0) AS need FROM po GROUP BY 1 HAVING {S.tier('entity')} <> 'tier1_sin_sinteticos' AND greatest(30 - count(*), 0) > 0),
 f AS (SELECT entity, name_norm, row_number() OVER (PARTITION BY entity ORDER BY name_norm) AS rn, count(*) OVER (PARTITION BY entity) AS n FROM po),
-k AS (SELECT entity, unnest(generate_series(0, need - 1)) AS k FROM need) SELECT k.entity, CAST(k AS INTEGER) AS k, name_norm AS parent_norm FROM k JOIN f ON f.entity = k.entity AND f.rn = k % least(n, 30) + 1""")
+k AS (SELECT entity, unnest(generate_series(0, need - 1)) AS k FROM need) SELECT k.entity, CAST(k AS INTEGER) AS k, name_norm AS parent_norm FROM k JOIN f ON f.entity = k.entity AND f.rn = k % n + 1""")
 LEX = ", ".join(f"({S.q(e)}, {i}, {S.q(t)}, {j})" for i, (e, ts) in enumerate(V.LEXICON.items()) for j, t in enumerate(ts))
 LEXV = "[" + ", ".join(f"{{'o': {i}, 'n': {x}}}" for i, x in enumerate(["t", "replace(t, ' ', '')", "replace(t, ' ', '_')", "t || ' ' || dg", "t || dg"] + [f"t || {S.q(x)}" for x in V.LEXICON_SUFFIXES])) + "]"
 
@@ -175,7 +175,7 @@ def _kids(rows):
     return cut_lineage(M.with_terms(k, "name_norm"))
 
 
-_small = dict(min_df=2, char_features=1500, word_features=300)
+_small = dict(min_df=2)
 
 
 def _hold(rows):
@@ -208,7 +208,7 @@ def _m13(s, d):
 
 
 register("m13_binary_classifier", _m13)
-register("m14_candidate_comparison", lambda s, d: (lambda h: M.compare_candidates(h[0], h[1], ["logistic", "svm", "gbt"], 0.5, NUMERIC, "w", min_df=2, char_features=300, word_features=50))(_hold(_train_rows(s, d))))
+register("m14_candidate_comparison", lambda s, d: (lambda h: M.compare_candidates(h[0], h[1], ["logistic", "svm", "gbt"], 0.5, NUMERIC, "w", min_df=2))(_hold(_train_rows(s, d))))
 
 
 def _masked(s, d):

@@ -24,7 +24,9 @@ def _accent_table() -> tuple[str, str]:
     have no counterpart, so the marks at the end disappear.
     """
     src, dst, marks = [], [], []
-    for code in range(0x80, 0x3000):
+    for code in range(0x80, 0x110000):
+        if 0xD800 <= code < 0xE000:
+            continue
         letter = chr(code)
         if unicodedata.category(letter) == "Mn":
             marks.append(letter)

@@ -71,14 +71,16 @@ def synthetic_variants(rows: DataFrame, cap: int = V.VARIANT_CAP) -> DataFrame:
             .select("name", "entity", F.lit(1).alias("is_synthetic"), "parent_norm"))
 
 
-def children_of_parents(parents: DataFrame, wanted: DataFrame, k_max: int = V.VARIANT_CAP) -> DataFrame:
+def children_of_parents(parents: DataFrame, wanted: DataFrame) -> DataFrame:
     """Round-robin: child k of an entity belongs to parent k mod (number of parents).
 
-    `wanted` is (entity, need). Only the first `k_max` parents by name can get a
-    child, so larger parent sets are cut by rank before they are counted.
+    `wanted` is (entity, need). Parents ranked beyond the largest need get no
+    child, so they are counted but not ranked.
     """
-    first = top_k(parents.select("entity", "parent_norm").distinct(), ["entity"], [F.asc("parent_norm")], k_max)
-    n = first.groupBy("entity").agg(F.max("rn").alias("n"))
+    distinct = parents.select("entity", "parent_norm").distinct()
+    most = wanted.agg(F.max("need")).first()[0] or 1
+    first = top_k(distinct, ["entity"], [F.asc("parent_norm")], int(most))
+    n = distinct.groupBy("entity").agg(F.count("*").alias("n"))
     slots = (wanted.filter("need > 0").join(n, "entity")
              .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("need").cast("int") - 1)))
              .withColumn("rn", (F.pmod("k", "n") + 1).cast("int")))

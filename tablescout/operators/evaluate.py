@@ -195,13 +195,12 @@ def ranked_errors(df: DataFrame, score: str, label: str, threshold: float, name:
 
 
 def quality_gates(metrics: DataFrame, gates=V.QUALITY_GATES) -> DataFrame:
-    """(metric, value, op, bound, pass) for every gate whose metric exists."""
-    cases = [F.when(F.col("metric") == m, F.struct(F.lit(o).alias("op"), F.lit(float(b)).alias("bound")))
-             for m, o, b in gates]
-    g = metrics.withColumn("_g", F.coalesce(*cases)).filter("_g IS NOT NULL")
-    v, b = F.col("value"), F.col("_g.bound")
-    ok = (F.when(F.col("_g.op") == ">=", v >= b).when(F.col("_g.op") == "<=", v <= b).otherwise(v < b))
-    return g.select("metric", "value", F.col("_g.op").alias("op"), b.alias("bound"), ok.alias("pass"))
+    """(metric, value, op, bound, pass) for every gate; one without its metric fails."""
+    g = metrics.sparkSession.createDataFrame([(m, o, float(b)) for m, o, b in gates], "metric string, op string, bound double")
+    g = g.join(metrics.select("metric", "value"), "metric", "left")
+    v, b = F.col("value"), F.col("bound")
+    ok = (F.when(F.col("op") == ">=", v >= b).when(F.col("op") == "<=", v <= b).otherwise(v < b))
+    return g.select("metric", "value", "op", "bound", F.coalesce(ok, F.lit(False)).alias("pass"))
 
 
 def long_metrics(one_row: DataFrame, variant: str) -> DataFrame:
@@ -212,7 +211,7 @@ def long_metrics(one_row: DataFrame, variant: str) -> DataFrame:
 
 
 def compare_modes(df: DataFrame, mode: str, score: str, label: str, threshold: float = 0.5) -> DataFrame:
-    """Recall, F1 and best F2 per value of `mode` (for example masked / intact)."""
+    """Recall and F1 per value of `mode` (for example masked / intact)."""
     hit = F.col("score") >= threshold
     counts = df.groupBy(mode, F.col(score).alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n"))

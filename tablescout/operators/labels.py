@@ -13,11 +13,12 @@ from tablescout.operators.textsim import nearest_neighbours
 
 
 def neighbour_table(pool_keys: DataFrame, gold_keys: DataFrame, floor: float = 0.5,
-                    complete: bool = False) -> DataFrame:
+                    complete: bool = True) -> DataFrame:
     """Per pool key: nearest gold key, its name and label, similarity.
 
-    Both inputs are key roll-ups (see catalog.key_rollup). Keys below the floor
-    keep null neighbour columns and similarity 0 unless `complete` is set.
+    Both inputs are key roll-ups (see catalog.key_rollup). Keys that share no
+    gram with the catalogue keep null neighbour columns and similarity 0; so do
+    keys below the floor if `complete` is unset.
     """
     nn = nearest_neighbours(pool_keys, gold_keys, "key", floor, complete)
     gold = gold_keys.select(F.col("key").alias("c"), F.col("name").alias("vecino"),

@@ -110,7 +110,7 @@ def fit_binary(train: DataFrame, numeric: list[str] = (), kind: str = "logistic"
     if balance:
         ratio = imbalance_weight(train, "y", weight).first()["scale_pos_weight"] or 1.0
         base = F.col(weight) if weight else F.lit(1.0)
-        train = train.withColumn("_w", base * F.when(F.col("y") == 1, F.lit(max(float(ratio), 1.0))).otherwise(F.lit(1.0)))
+        train = train.withColumn("_w", base * F.when(F.col("y") == 1, F.lit(max(float(ratio), 1.0) if kind == "logistic" else float(ratio))).otherwise(F.lit(1.0)))
         weight = "_w"
     train = cut_lineage(train)  # read once per fitted stage below
     fitted = fit_features(train, list(numeric), **features)
@@ -197,6 +197,10 @@ def compare_candidates(train: DataFrame, test: DataFrame, kinds: list[str], thre
     parts = []
     for kind in kinds:
         model = fit_binary(train, numeric, kind, weight, **features)
+        if kind == "svm":  # a margin is no probability: calibrate it on rows that the classifier has not seen
+            part = F.pmod(F.xxhash64("grams"), F.lit(3))
+            held = fit_binary(train.filter(part > 0), numeric, kind, weight, **features)
+            model.calibrator = fit_platt(held.score(train.filter(part == 0), "oof_raw"))
         scored = cut_lineage(model.score(test, "prob").select("prob", "y"))
         row = E.confusion(scored, "prob", "y", threshold, 3)
         loss = E.brier(scored, "prob", "y")

@@ -148,35 +148,47 @@ def _sorted_vectors(docs: DataFrame, key: str, terms: Column) -> DataFrame:
 PREFIX_NORM = 0.4  # left-out norm; smaller looks up more grams, larger prunes less
 
 
+FALLING_FLOORS = (0.3, 0.15)  # below the caller's floor, for names that are still open
+
+
 def nearest_neighbours(queries: DataFrame, catalog: DataFrame, text: str = "light",
                        floor: float = 0.5, complete: bool = False) -> DataFrame:
     """(q, c, similarity) with similarity on a 0-100 scale.
 
-    Names below the floor get no row unless `complete` is set. The vocabulary
-    is fitted on the distinct names of both sides together.
+    Names below the floor get no row unless `complete` is set: then the search
+    is repeated with falling floors, each time for the names that are still
+    open, and only what no floor settles is compared on all shared grams. The
+    vocabulary is fitted on the distinct names of both sides together.
     """
     q, c = _side_vectors(queries, catalog, text)
     same = q.select("q").join(c.select(F.col("c").alias("q")), "q").select(
         "q", F.col("q").alias("c"), F.lit(1.0).alias("sim"))
-    rest = _with_prefix(q.join(same.select("q"), "q", "left_anti"), min(floor, PREFIX_NORM) if floor > 0 else PREFIX_NORM)
+    still = q.join(same.select("q"), "q", "left_anti")
+    found = _at_floor(still, c, floor)
+    if not complete:
+        return _as_percent(same.unionByName(found))
+    settled = same
+    for low in [f for f in FALLING_FLOORS if f < floor] + [None]:
+        found = cut_lineage(found)
+        settled = settled.unionByName(found)
+        still = still.join(found.select("q"), "q", "left_anti")
+        if low is not None:
+            found = _at_floor(still, c, low)
+    wide = (_grams_of(still, "q", "vec", "wq").join(_grams_of(c, "c", "vec", "wc"), "term")
+            .groupBy("q", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("sim")))
+    return _as_percent(settled.unionByName(_best(wide).select("q", "c", "sim")))
+
+
+def _at_floor(still: DataFrame, c: DataFrame, floor: float) -> DataFrame:
+    """(q, c, sim): exact nearest neighbours of the names that have one at or above the floor."""
+    rest = _with_prefix(still, min(floor, PREFIX_NORM) if floor > 0 else PREFIX_NORM)
     parts = (_grams_of(rest, "q", "kept", "wq", "rem").join(_grams_of(c, "c", "vec", "wc"), "term")
-             .groupBy("q", "rem", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("part")))
-    if not complete:  # most pairs end here, before anything is ranked
-        parts = parts.filter(F.col("part") + F.col("rem") >= floor - 1e-9)
-    lower = F.max("part").over(W.partitionBy("q"))
-    bar = lower if complete else F.greatest(lower, F.lit(floor))
+             .groupBy("q", "rem", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("part"))
+             .filter(F.col("part") + F.col("rem") >= floor - 1e-9))  # most pairs end here, before anything is ranked
+    bar = F.greatest(F.max("part").over(W.partitionBy("q")), F.lit(floor))
     hopeful = (parts.withColumn("bar", bar).filter(F.col("part") + F.col("rem") >= F.col("bar") - 1e-9)
                .select("q", "rem", "c"))
-    found = _best(_score(hopeful, rest, c))
-    if not complete:
-        sure = found.filter(F.col("sim") >= floor)
-        return _as_percent(same.unionByName(sure.select("q", "c", "sim")))
-    found = cut_lineage(found)
-    sure = same.unionByName(found.filter("sim >= rem").select("q", "c", "sim"))
-    open_q = rest.join(sure.select("q"), "q", "left_anti")
-    wide = (_grams_of(open_q, "q", "vec", "wq").join(_grams_of(c, "c", "vec", "wc"), "term")
-            .groupBy("q", "c").agg(F.sum(F.col("wq") * F.col("wc")).alias("sim")))
-    return _as_percent(sure.unionByName(_best(wide).select("q", "c", "sim")))
+    return _best(_score(hopeful, rest, c)).filter(F.col("sim") >= floor).select("q", "c", "sim")
 
 
 def _as_percent(nn: DataFrame) -> DataFrame:
@@ -194,7 +206,7 @@ def similar_pairs(names: DataFrame, text: str, floor: float) -> DataFrame:
     return _score(parts, q, c).filter(F.col("sim") >= floor).select(F.col("q").alias("a"), F.col("c").alias("b"), "sim")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, node: str, max_rounds: int = 60) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, node: str) -> DataFrame:
     """(node, component) where the component is its smallest node.
 
     Large-star and small-star rounds alternate; both only group by node with a
@@ -204,7 +216,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str, max_roun
     e = cut_lineage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .filter("u <> v").distinct())
     fingerprint = None
-    for _ in range(max_rounds):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -218,8 +230,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str, max_roun
         if (stats.n, stats.h) == fingerprint:
             break
         fingerprint = (stats.n, stats.h)
-    else:
-        raise RuntimeError("components did not settle")
     return (nodes.select(F.col(node)).distinct()
             .join(e.groupBy("u").agg(F.min("v").alias("v")), F.col(node) == F.col("u"), "left")
             .select(node, F.coalesce("v", node).alias("component")))
@@ -254,18 +264,17 @@ def cluster_labels(members: DataFrame, text: str, cluster: str = "component") ->
                     .otherwise(F.concat(F.lit("cluster_"), F.col(cluster))).alias("label")))
 
 
-def token_overlap(names: DataFrame, dictionary: DataFrame, name: str, entry: str,
-                  max_entries: int = 200) -> DataFrame:
-    """Best token-set Jaccard (0-100) of each name against a short dictionary.
+def token_overlap(names: DataFrame, dictionary: DataFrame, name: str, entry: str) -> DataFrame:
+    """Best token-set Jaccard (0-100) of each name against a dictionary of any size.
 
-    Joined on shared tokens instead of all pairs; the dictionary is a top list
-    of at most `max_entries` rows, so broadcasting its tokens is bounded.
+    Joined on shared tokens instead of all pairs; Spark broadcasts the tokens
+    where their measured size allows it.
     """
     words = lambda c: F.array_distinct(F.filter(F.split(c, r"\s+"), lambda t: t != ""))
     q = names.select(name, words(T.base_entity(F.col(name))).alias("qs")).distinct()
-    d = dictionary.select(F.col(entry).alias("d"), words(F.col(entry)).alias("ds")).limit(max_entries)
+    d = dictionary.select(F.col(entry).alias("d"), words(F.col(entry)).alias("ds")).distinct()
     hits = (q.select(name, F.size("qs").alias("nq"), F.explode("qs").alias("t"))
-            .join(F.broadcast(d.select("d", F.size("ds").alias("nd"), F.explode("ds").alias("t"))), "t")
+            .join(d.select("d", F.size("ds").alias("nd"), F.explode("ds").alias("t")), "t")
             .groupBy(name, "nq", "d", "nd").agg(F.count("*").alias("i"))
             .groupBy(name).agg(F.max(100.0 * F.col("i") / (F.col("nq") + F.col("nd") - F.col("i"))).alias("s")))
     return q.select(name).join(hits, name, "left").select(

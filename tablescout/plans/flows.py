@@ -23,7 +23,7 @@ def personal_columns(tables: dict[str, DataFrame]) -> DataFrame:
     return scan_report(profile_columns(tables))
 
 
-def transfer_labels(pool: DataFrame, gold: DataFrame, floor: float = 0.5, complete: bool = False) -> DataFrame:
+def transfer_labels(pool: DataFrame, gold: DataFrame, floor: float = 0.5, complete: bool = True) -> DataFrame:
     """Catalogue both sides, match names, apply the label rule, return every pool row."""
     pool_keys = C.key_rollup(C.name_catalog(pool)).filter("key <> ''")
     gold_keys = C.key_rollup(C.name_catalog(gold)).filter("key <> ''")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +14,7 @@ SETTINGS = {
     # short strings unfold into many grams: keep small shuffles parallel
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -28,17 +28,14 @@ def build_session(master: str | None = None, app: str = "tablescout", **conf: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back only for local runs."""
+    """Use the shared folder the cluster names; where none is named, one in the warehouse, which is shared as well."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tablescout-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{_warehouse(spark)}/_checkpoints")
+
+
+def _warehouse(spark: SparkSession) -> str:
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -48,10 +45,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh folder every executor can reach: below spark.checkpoint.dir on a cluster."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tablescout-{name}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"tablescout-{name}-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    """A fresh folder every executor can reach: below spark.checkpoint.dir, or in the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{_warehouse(spark)}/_scratch"
+    return f"{shared.rstrip('/')}/tablescout-{name}-{uuid.uuid4().hex}"

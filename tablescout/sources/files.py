@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablescout.functions import text as T, vocabulary as V
@@ -12,17 +14,22 @@ BOM = "﻿"
 def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header row, UTF-8 with an optional BOM, Latin-1 where UTF-8 does not decode.
 
-    Every value is text; callers cast. The encoding test stops at the first
-    undecodable line. `multi_line` allows line breaks inside quotes, at the
-    price of files that cannot be split.
+    Each file is decoded on its own. Every value is text; callers cast. `multi_line`
+    allows line breaks inside quotes, at the price of files that cannot be split.
     """
-    def load(encoding: str) -> DataFrame:
-        return (spark.read.option("header", True).option("encoding", encoding).option("multiLine", multi_line)
-                .option("quote", '"').option("escape", '"').csv(path))
-
-    broken = spark.read.text(path).filter(~F.is_valid_utf8("value")).limit(1)
-    df = load("ISO-8859-1" if broken.take(1) else "UTF-8")
-    return df.toDF(*[c.lstrip(BOM).removeprefix("ï»¿").strip() for c in df.columns])
+    def load(files: list[str], encoding: str) -> DataFrame:
+        df = (spark.read.option("header", True).option("encoding", encoding).option("multiLine", multi_line)
+              .option("quote", '"').option("escape", '"').csv(files))
+        return df.toDF(*[c.lstrip(BOM).removeprefix("ï»¿").strip() for c in df.columns])
+
+    lines = spark.read.text(path)
+    flags = (lines.select(F.input_file_name().alias("file"), F.is_valid_utf8("value").alias("fine"))
+             .groupBy("file").agg(F.every("fine").alias("fine")).filter(~F.col("fine")))
+    broken = {r.file for r in flags.collect()}  # names of files only
+    files = lines.inputFiles()
+    parts = [load([f for f in files if (f in broken) == bad], encoding)
+             for bad, encoding in ((False, "UTF-8"), (True, "ISO-8859-1")) if any((f in broken) == bad for f in files)]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def verdict_report(scored: DataFrame) -> DataFrame:

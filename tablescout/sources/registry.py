@@ -8,12 +8,12 @@ from tablescout.operators.grouping import attach
 
 
 def register(registry: DataFrame, new: DataFrame) -> DataFrame:
-    """Append rows with fresh ids after the highest one in use (ids never repeat)."""
+    """Append rows with fresh ids after the highest one in use (ids never repeat); blank rows get none."""
     from pyspark.sql import Window as W
     highest = registry.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_max"))
     # a registration is a handful of form entries
-    numbered = attach(new.withColumn("_n", F.row_number().over(W.orderBy("nombre", "url"))), highest)
-    ready = numbered.filter("trim(nombre) <> '' AND trim(url) <> ''").select(
+    filled = new.filter("trim(nombre) <> '' AND trim(url) <> ''")
+    ready = attach(filled.withColumn("_n", F.row_number().over(W.orderBy("nombre", "url"))), highest).select(
         (F.col("_max") + F.col("_n")).cast("long").alias("id"), F.trim("nombre").alias("nombre"), F.trim("url").alias("url"))
     return registry.select("id", "nombre", "url").unionByName(ready)
 

@@ -11,8 +11,10 @@ DATA = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     s = build_session("local[4]", "tablescout-tests", **{
+        "spark.checkpoint.dir": f"file://{shared}/checkpoints", "spark.sql.warehouse.dir": f"{shared}/warehouse",
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
