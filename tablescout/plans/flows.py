@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablescout.functions import rules as R, text as T, vocabulary as V
 from tablescout.operators import catalog as C, decisions as X, labels as L, lifecycle as LC, retention as RT
-from tablescout.sources.schema_scan import profile_columns
+from tablescout.sources.schema_scan import table_headers
 
 
 def scan_report(columns: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def scan_report(columns: DataFrame) -> DataFrame:
 
 def personal_columns(tables: dict[str, DataFrame]) -> DataFrame:
     """Which columns of these tables hold personal data, and of which kind."""
-    return scan_report(profile_columns(tables))
+    return scan_report(table_headers(tables))
 
 
 def transfer_labels(pool: DataFrame, gold: DataFrame, floor: float = 0.5, complete: bool = True) -> DataFrame:

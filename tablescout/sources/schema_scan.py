@@ -40,6 +40,20 @@ def scan_paths(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet")
     return scan_schemas(spark, tables), warnings
 
 
+def table_headers(tables: dict[str, DataFrame]) -> DataFrame:
+    """(source_file, name, dataset, type, n_rows) per column, from schemas and row counts.
+
+    A count without columns is answered from the file footers: no data page is read.
+    """
+    parts = []
+    for t, df in tables.items():
+        cells = F.array(*[F.struct(F.lit(f.name.strip()).alias("name"), F.lit(f.dataType.simpleString()).alias("type"))
+                          for f in df.schema.fields if usable_header(f.name)])
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.inline(cells))
+                     .select(F.lit(t).alias("source_file"), "name", F.lit(t).alias("dataset"), "type", "n_rows"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def profile_columns(tables: dict[str, DataFrame]) -> DataFrame:
     """(source_file, name, n_rows, n_null, accepts_null) per column.
 
