@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tablescout.llm.common import arrow_map, keyed
+from tablescout.session import cut_lineage
 
 MIN_SENTENCES, MIN_WORDS = 2, 20
 BREAK = re.compile(rb"(?<=[.!?])[\x20\x09-\x0d]+|\n+")
@@ -63,7 +64,9 @@ def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_word
     # equal runs of one document of equal rows are one: distinct places are counted by the first and the last of them
     place = F.struct("_i", "_h", "at")
     often = r.groupBy("k1", "k2").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high")
-    found = r.join(often.select("k1", "k2", "low"), ["k1", "k2"]).filter(place > F.col("low"))
+    # written first: Spark splits hot keys of a join only if both sides come straight from a shuffle
+    often = cut_lineage(often.select("k1", "k2", "low"))
+    found = r.join(often, ["k1", "k2"]).filter(place > F.col("low"))
     return found.select("_i", "_h", F.shiftright("at", 32).cast("int").alias("first"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("last"),
                         F.col("low._i").alias("first_doc_id"))
 
