@@ -266,14 +266,16 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     place = F.struct("_i", "_h", "at")
     # rows of one document repeated count once: first and last place differ otherwise
     again = s.groupBy("k1").agg(F.min(place).alias("x"), F.max(place).alias("y")).filter("x < y").select("k1")
-    s = cut_lineage(s.join(again, "k1").distinct())
-    reach = cut_lineage(s.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(place).alias("one")))
-    settled = s.join(reach.filter("n > 1").select("k1", "k2"), ["k1", "k2"])
+    # tables are written before their joins: Spark splits hot keys only if both sides come straight from a shuffle
+    s = cut_lineage(s.join(cut_lineage(again), "k1"))
+    reach = cut_lineage(s.groupBy("k1", "k2").agg(F.min(place).alias("one"), F.max(place).alias("last")).select(
+        "k1", "k2", "one", (F.col("one") < F.col("last")).cast("int").alias("many")))
+    settled = s.join(reach.filter("many = 1").select("k1", "k2"), ["k1", "k2"])
     at = lambda shift: F.shiftright("at", shift).bitwiseAND(F.lit(1023)) if shift else F.col("at").bitwiseAND(F.lit(1023))
     p = F.shiftright("at", 20)
     spans = settled.select("_i", "_h", (p - at(10)).alias("a"), (p - at(0) + length).alias("b"))
-    groups = reach.groupBy("k1").agg(F.count("*").alias("reaches"), F.min("n").alias("fewest")).filter("reaches > 1 AND fewest = 1")
-    need = reach.join(groups, "k1").select("one.*", "k1", (F.col("n") > 1).cast("int").alias("many"), (F.col("reaches") > HOT).alias("hot"))
+    groups = reach.groupBy("k1").agg(F.count("*").alias("reaches"), F.min("many").alias("fewest")).filter("reaches > 1 AND fewest = 0")
+    need = reach.join(cut_lineage(groups), "k1").select("one.*", "k1", "many", (F.col("reaches") > HOT).alias("hot"))
     need = cut_lineage(need)
     count = {r["hot"]: r["n"] for r in need.groupBy("hot").agg(F.count("*").alias("n")).collect()}
 
