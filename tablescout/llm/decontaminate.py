@@ -2,8 +2,8 @@
 
 Method: a random walk (CGK) turns an item-sized window of words into a string whose Hamming distance follows the edit distance;
 bit sampling over repeated walks gives LSH keys, and windows that share a key with an item of their size are verified by the exact
-edit distance over words. A window with at most k edits keeps at least one of any k + 1 words of the item, so only windows
-around one of an item's k + 1 longest words are embedded; this loses nothing.
+edit distance over words. A window with at most k edits keeps at least one of any k + 1 words of the item, and all but k of its
+different words; so only windows around one of an item's k + 1 rarest words that hold that many are embedded. This loses nothing.
 
 The benchmark travels to the executors in slices of at most SLICE_CHARS characters, one pass over the documents for each.
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -69,16 +69,18 @@ def infix_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 class Matcher:
     def __init__(self, items: list[tuple[int, str]], similarity: float):
-        self.items, self.anchors = {}, defaultdict(list)
+        self.items, self.anchors, self.vocabulary = {}, defaultdict(list), {}
         by_size = defaultdict(list)
-        for key, text in items:
-            words = WORD.findall((text or "").lower())
+        split = {key: WORD.findall((text or "").lower()) for key, text in items}
+        common = Counter(w for words in split.values() for w in set(words))
+        for key, words in split.items():
             if not words:
                 continue
+            self.vocabulary[key] = frozenset(words)
             edits = int((1 - similarity) * len(words) + 1e-9)
             self.items[key] = (numbers(words), edits)
             by_size[len(words)].append(key)
-            for a in sorted(range(len(words)), key=lambda i: -len(words[i]))[:edits + 1]:
+            for a in sorted(range(len(words)), key=lambda i: (common[words[i]], -len(words[i])))[:edits + 1]:
                 self.anchors[words[a]].append((key, a))
         self.tables: dict[int, dict] = {}
         for size, keys in by_size.items():
@@ -95,10 +97,11 @@ class Matcher:
         if not hits:
             return []
         starts: dict[int, dict[int, set]] = defaultdict(lambda: defaultdict(set))  # size -> start -> items it may be
-        for i in hits:
-            for key, a in anchors[words[i]]:
-                item, edits = self.items[key]
-                for s in range(max(0, i - a - edits), min(len(words), i - a + edits + 1)):
+        for key, at in {(key, i - a) for i in hits for key, a in anchors[words[i]]}:
+            item, edits = self.items[key]
+            own = self.vocabulary[key]
+            if len(own.intersection(words[max(0, at - edits):at + edits + len(item) + edits])) >= len(own) - edits:
+                for s in range(max(0, at - edits), min(len(words), at + edits + 1)):
                     starts[len(item)][s].add(key)
         nums = numbers(words)
         found: dict[int, tuple[int, int]] = {}
