@@ -6,6 +6,7 @@ python -m checks.verify [sf_dir] [name-substring ...]
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -44,7 +45,8 @@ def main(argv):
     sf = argv[0] if argv else "/root/testdata/sf0.01"
     queries, oracles = all_queries()
     picked = [n for n in queries if not argv[1:] or any(p in n for p in argv[1:])]
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    shared = tempfile.mkdtemp(prefix="tablescout-verify-")
+    spark = build_session("local[8]", **{"spark.checkpoint.dir": f"file://{shared}/checkpoints", "spark.sql.warehouse.dir": f"{shared}/warehouse", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     bad = 0
