@@ -86,7 +86,16 @@ SEPS = {"underscore": "contains(name, '_')", "guion": "contains(name, '-')", "es
 SEP_SQL = " UNION ALL ".join(f"SELECT {S.q(k)} AS valor, count(*) FILTER (WHERE {e}) AS n_obs FROM words" for k, e in SEPS.items())
 register("a8_mine_families", lambda s, d: C.mine_families(A.words(s, d)), f"WITH {A.WORDS} {FAM_SQL}")
 register("a9_separator_profile", lambda s, d: C.separator_profile(A.words(s, d)), f"WITH {A.WORDS} {SEP_SQL}")
-register("a10_mine_qualifiers", lambda s, d: C.mine_qualifiers(A.words(s, d)), f"WITH {A.WORDS} {QUAL_SQL}")
+
+
+def _qualified(s, d):
+    """Words with a qualifier glued to those of some lengths; plain words hold none."""
+    n = F.pmod(F.length("name"), F.lit(7))
+    return A.words(s, d).select(F.concat("name", F.when(n == 0, F.lit("_Titular")).when(n == 3, F.lit("_cliente")).otherwise(F.lit(""))).alias("name"))
+
+
+register("a10_mine_qualifiers", lambda s, d: C.mine_qualifiers(_qualified(s, d)),
+         f"""WITH {A.WORDS}, tagged AS (SELECT name || CASE length(name) % 7 WHEN 0 THEN '_Titular' WHEN 3 THEN '_cliente' ELSE '' END AS name FROM words) {QUAL_SQL.replace('FROM words', 'FROM tagged')}""")
 register("u6_lexical_findings", lambda s, d: C.lexical_findings(A.words(s, d)),
          f"WITH {A.WORDS} SELECT familia AS tipo, variante AS valor, n_obs FROM ({FAM_SQL}) UNION ALL SELECT 'calificador', calificador, n_obs FROM ({QUAL_SQL}) UNION ALL SELECT 'separador', valor, n_obs FROM ({SEP_SQL})")
 
