@@ -216,3 +216,25 @@ def test_threshold_override_is_traceable(spark, tmp_path):
     artefacts.save_parameters(p, str(tmp_path / "p"))
     r = artefacts.load_parameters(spark, str(tmp_path / "p")).first()
     assert (r.threshold, r.threshold_previo, r.threshold_motivo) == (0.75, 0.5, "why")
+
+
+def test_calibrated_candidates_give_probabilities(spark):
+    from tablescout.operators import models as M
+    rows = [(f"name{i}", ["^na", "x" if i % 3 else "y", f"g{i % 7}"], ["w"], 1.0, int(i % 3 == 0)) for i in range(90)]
+    df = spark.createDataFrame(rows, "name string, grams array<string>, words array<string>, n double, y int")
+    out = M.compare_candidates(df, df, ["svm", "logistic"], 0.5, ["n"], min_df=1, char_features=50, word_features=5).collect()
+    assert {r.modelo for r in out} == {"svm", "logistic"} and all(0 <= r.brier <= 1 for r in out)
+
+
+def test_a_gate_without_metric_fails(spark):
+    from tablescout.operators import evaluate as E
+    m = spark.createDataFrame([("recall", 0.9), ("other", 1.0)], "metric string, value double")
+    got = {r.metric: r["pass"] for r in E.quality_gates(m, [("recall", ">=", 0.8), ("oov", "<=", 0.4)]).collect()}
+    assert got == {"recall": True, "oov": False}
+
+
+def test_a_large_dictionary_is_compared_whole(spark):
+    from tablescout.operators import textsim as X
+    words = spark.createDataFrame([(f"term{i:04d}x",) for i in range(500)], "d string")
+    names = spark.createDataFrame([("term0499x",)], "name string")
+    assert X.token_overlap(names, words, "name", "d").first().fuzzy_score == 100.0
