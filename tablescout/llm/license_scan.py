@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablescout.llm.common import keyed
+from tablescout.session import cut_lineage
 
 WIDTH, TARGET, SEED_BASE, MAX_TEMPLATES = 5, 0.999, 1000, 2000
 
@@ -95,7 +96,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = NOTICES, share: flo
     d = keyed(docs, id_col, text_col).select("_i", "_h", F.col(f"_row.`{id_col}`").alias("doc_id"), F.lower("_t").alias("t"))
     d = d.filter(reduce(lambda a, b: a | b, [F.contains("t", F.lit(w)) for w in cover(templates)]))
     d = d.select("_i", "_h", "doc_id", F.filter(F.split("t", "[^a-z0-9]+"), lambda x: x != "").alias("words"))
-    d = d.select("_i", "_h", "doc_id", F.size("words").alias("n"), shingle_hashes(F.col("words")).alias("hashes"))
+    # every size class reads these documents: they are written once
+    d = cut_lineage(d.select("_i", "_h", "doc_id", F.size("words").alias("n"), shingle_hashes(F.col("words")).alias("hashes")))
     every = template_table(spark, templates)
     parts = []
     for length in sorted({size_class(len(words_of(t))) for _, t in templates}):
