@@ -1,12 +1,13 @@
 """Repeated spans of consecutive sentences.
 
-Method: from every sentence the shortest run of at least `min_sentences` sentences and `min_words` words is hashed (128 bits). Runs
+Method: from every sentence the run of exactly `min_sentences` sentences is hashed (128 bits). A longer repeated run is the union of
+such runs, and none of them is a first occurrence unless the longer run is one, so its sentences are found whole, tails included. Runs
 are counted over the corpus with their first occurrence, by document and position; joined back, every run that is not the first
 one is a repeated span, and the sentences that such a span covers are removed. Counts and first occurrences are combined before
 the shuffle; the join is a plain one whose hot keys Spark splits at run time.
 
 Cases: sentences end at `.`, `!` or `?` before white space, or at a line break; words are lower-cased (A-Z) and separated by
-[\\x20\\x09-\\x0D]; texts with fewer words have no run; a null text is empty; rows of equal id and text are one document; a null
+[\\x20\\x09-\\x0D]; texts with fewer sentences have no run; runs may be short, no number of words is asked for; a null text is empty; rows of equal id and text are one document; a null
 id counts as 0 in the order; other columns play no part; an empty table gives an empty result.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablescout.llm.common import arrow_map, keyed
 from tablescout.session import cut_lineage
 
-MIN_SENTENCES, MIN_WORDS = 2, 20
+MIN_SENTENCES = 2
 BREAK = re.compile(rb"(?<=[.!?])[\x20\x09-\x0d]+|\n+")
 
 
@@ -28,46 +29,37 @@ def sentence_spans(text: bytes) -> list[bytes]:
     return [s for s in BREAK.split(text) if s.strip()]
 
 
-def runs(text: bytes, min_sentences: int, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(first sentence, last sentence, content) of the run that starts at each sentence."""
-    words = [s.lower().split() for s in sentence_spans(text)]
-    flat, n, out, last, total = [b" ".join(w) for w in words], [len(w) for w in words], [], -1, 0
-    for i in range(len(n)):
-        while last + 1 < len(n) and (total < min_words or last - i + 1 < min_sentences):
-            last += 1
-            total += n[last]
-        if total < min_words or last - i + 1 < min_sentences:
-            break
-        out.append((i, last, b" ".join(flat[i:last + 1])))
-        total -= n[i]
-    return out
+def runs(text: bytes, min_sentences: int) -> list[bytes]:
+    """Content of the run of `min_sentences` sentences that starts at each sentence, as far as there are so many."""
+    flat = [b" ".join(s.lower().split()) for s in sentence_spans(text)]
+    return [b" ".join(flat[i:i + min_sentences]) for i in range(len(flat) - min_sentences + 1)]
 
 
-def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_i, _h, doc_id, first, last, first_doc_id) of each repeated span, sentences counted from 0."""
     def kernel(batch: pa.RecordBatch) -> pa.Table:
         import struct
         from xxhash import xxh3_128_digest
         at, where, data = [], [], []
         for row, text in enumerate(batch.column(2)):
-            for a, b, content in runs(text.as_py(), min_sentences, min_words):
+            for first, content in enumerate(runs(text.as_py(), min_sentences)):
                 at.append(row)
-                where.append(a << 32 | b)
+                where.append(first)
                 data.append(xxh3_128_digest(content))
         pairs = list(struct.iter_unpack("<qq", b"".join(data)))
         keys = [pa.array([p[c] for p in pairs], pa.int64()) for c in (0, 1)]
         at = pa.array(at, pa.int32())
-        return pa.Table.from_arrays([*keys, batch.column(0).take(at), batch.column(1).take(at), pa.array(where, pa.int64())], names=["k1", "k2", "_i", "_h", "at"])
+        return pa.Table.from_arrays([*keys, batch.column(0).take(at), batch.column(1).take(at), pa.array(where, pa.int32())], names=["k1", "k2", "_i", "_h", "at"])
 
     d = keyed(docs, id_col, text_col).select("_i", "_h", F.col("_t").cast("binary").alias("t"))
-    r = arrow_map(d, kernel, "k1 long, k2 long, _i long, _h long, at long")
+    r = arrow_map(d, kernel, "k1 long, k2 long, _i long, _h long, at int")
     # equal runs of one document of equal rows are one: distinct places are counted by the first and the last of them
     place = F.struct("_i", "_h", "at")
     often = r.groupBy("k1", "k2").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low < high")
     # written first: Spark splits hot keys of a join only if both sides come straight from a shuffle
     often = cut_lineage(often.select("k1", "k2", "low"))
     found = r.join(often, ["k1", "k2"]).filter(place > F.col("low"))
-    return found.select("_i", "_h", F.shiftright("at", 32).cast("int").alias("first"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("last"),
+    return found.select("_i", "_h", F.col("at").alias("first"), (F.col("at") + (min_sentences - 1)).alias("last"),
                         F.col("low._i").alias("first_doc_id"))
 
 

@@ -102,3 +102,31 @@ def test_odd_rows_of_spans(spark, empty):
     d = spark.createDataFrame([] if empty else rows, "doc_id long, text string").selectExpr("*", "1 AS first", "2 AS removed")
     out = {r.doc_id: r.removed for r in span_dedup.removed_sentences(d).collect()}
     assert out == ({} if empty else brute_spans([(3, long), (4, "X. " + long), (0, "Y? " + long)]))
+
+
+def brute_spans_of_every_length(rows):
+    place, gone = defaultdict(list), defaultdict(set)
+    for i, t in rows:
+        s = [" ".join(y.lower().split()) for y in re.split(r"(?<=[.!?])[\x20\x09-\x0d]+|\n+", t) if y.strip()]
+        for a in range(len(s)):
+            for b in range(a + 1, len(s)):
+                place[" ".join(s[a:b + 1])].append((i, a, b))
+    for v in place.values():
+        for i, a, b in sorted(v)[1:]:
+            gone[i] |= set(range(a, b + 1))
+    return {i: sorted(v) for i, v in gone.items()}
+
+
+def test_tails_and_short_runs(spark):
+    shared = f"{'aa ' * 14}end. {'bb ' * 9}end. Just three words."
+    rows = [(1, f"{shared} Then one goes on with {'x ' * 30}."), (2, f"{shared} The other ends in {'y ' * 30}."),
+            (3, "Own start. Yes we can. No we cannot. Own end."), (4, "Yes we can. No we cannot. Other end."), (5, "Yes we can. Alone.")]
+    out = {r.doc_id: r.removed for r in span_dedup.removed_sentences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {2: [0, 1, 2], 4: [0, 1]} == brute_spans_of_every_length(rows)
+
+
+def test_spans_against_brute_force_of_every_length(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").filter("length(text) < 4000")
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    out = {r.doc_id: r.removed for r in span_dedup.removed_sentences(docs).collect()}
+    assert out == brute_spans_of_every_length(rows) and len(out) > 0
