@@ -1,6 +1,7 @@
 """Toxicity of whole texts by a bidirectional gated recurrent network with attention pooling.
 
-Inputs of each word: an embedding of the word and the mean of embeddings of its character pieces (prefixes and trigrams), both hashed.
+Inputs of each word: an embedding of the word and the mean of embeddings of its character pieces (prefixes and all trigrams), both hashed.
+Longer runs than LETTERS letters and digits are split into successive words, so that the windows cover them whole.
 A window of WINDOW words runs through a gated recurrent unit in both directions; attention pools its states into a score.
 Windows overlap by half and cover the whole text; the highest window is the text's score. The network is trained in numpy on
 the driver from at most `per_class` labelled rows of each class (texts up to TRAIN_CHARS characters), the windows of a text
@@ -23,33 +24,47 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablescout.llm.common import arrow_map, worker_state
 
 WINDOW, STRIDE = 24, 12
-WORDS, PIECES, SLOTS = 2**14, 2**13, 16  # hash buckets; character pieces of a word at most
+WORDS, PIECES = 2**14, 2**13  # hash buckets of words and of character pieces
 DIM, HIDDEN, ATTEND = 12, 8, 8
 TRAIN_CHARS = 50_000
 CACHED_WORDS = 400_000
-LETTERS, PREFIXES = 24, (3, 4, 5)  # bytes of a word that its pieces see; ends of the prefixes
+LETTERS, PREFIXES = 24, (3, 4, 5)  # letters of a word at most, longer ones are split; ends of the prefixes
 WORD = re.compile(r"[^\W_]+")
 
 
+def split_words(text: str) -> list[str]:
+    """Words of a text; a run of more than LETTERS letters and digits counts as successive words of LETTERS of them, the last one shorter."""
+    found = WORD.findall(text.lower())
+    if all(len(w) <= LETTERS for w in found):
+        return found
+    return [w[a:a + LETTERS] for w in found for a in range(0, len(w), LETTERS)]
+
+
 def pieces(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of words, of their character pieces (trigrams with both ends marked, prefixes), and the weights of the pieces."""
-    raw = np.array([w.encode() for w in words], dtype=f"S{LETTERS}") if words else np.zeros(0, f"S{LETTERS}")
-    m = np.zeros((len(words), LETTERS + 3), dtype=np.uint64)
-    m[:, 0] = 94
-    m[:, 1:LETTERS + 1] = raw.view(np.uint8).reshape(len(words), LETTERS)
-    size = (m != 0).sum(axis=1)  # with the mark at the front
-    scaled = [m * np.uint64(k) for k in (2654435761, 40503, 2246822519)]
-    tri = scaled[0][:, :-2] + scaled[1][:, 1:-1] + scaled[2][:, 2:]
+    """Buckets of words, buckets of the character pieces of all words one after the other (trigrams with both ends marked, prefixes),
+    and where the pieces of each word start. Of a word, all bytes take part."""
+    raw = [w.encode() for w in words]
     mix = lambda x: (x ^ (x >> np.uint64(15))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-    whole, prefix = np.zeros(len(words), dtype=np.uint64), []
-    for i in range(LETTERS + 1):
-        whole = whole * np.uint64(31 if i else 1) + m[:, i]
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    # each word as a mark, its bytes and a zero; its trigrams start at all places but the last two
+    flat = np.frombuffer(b"".join([b"^" + w + b"\0" for w in raw]), np.uint8).astype(np.uint64)
+    start = np.concatenate(([0], np.cumsum(size + 2)))[:-1]
+    tri = flat[:-2] * np.uint64(2654435761) + flat[1:-1] * np.uint64(40503) + flat[2:] * np.uint64(2246822519)
+    of = np.repeat(np.arange(len(raw)), size)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + start[of]
+    parts, owner = [mix(tri[at])], [of]
+    whole, live = np.zeros(len(raw), dtype=np.uint64), np.arange(len(raw))
+    for i in range(int(size.max(initial=0)) + 1):
+        live = live[size[live] >= i]
+        whole[live] = whole[live] * np.uint64(31 if i else 1) + flat[start[live] + i]
         if i in PREFIXES:
-            prefix.append(mix(whole + np.uint64(i)))
-    n = SLOTS - len(PREFIXES)
-    slot = np.concatenate((mix(tri[:, :n]), np.stack(prefix, axis=1)), axis=1) % np.uint64(PIECES)
-    on = np.concatenate((size[:, None] > np.arange(1, n + 1), size[:, None] > np.array(PREFIXES)), axis=1).astype(np.float32)
-    return (mix(whole) % np.uint64(WORDS)).astype(np.int64), slot.astype(np.int64), on / np.maximum(1, on.sum(axis=1, keepdims=True))
+            parts.append(mix(whole[live] + np.uint64(i)))
+            owner.append(live)
+    owner = np.concatenate(owner)
+    order = np.argsort(owner, kind="stable")
+    count = np.bincount(owner, minlength=len(raw))
+    slot = (np.concatenate(parts) % np.uint64(PIECES)).astype(np.int64)[order]
+    return (mix(whole) % np.uint64(WORDS)).astype(np.int64), slot, np.concatenate(([0], np.cumsum(count)))
 
 
 def windows(n: int) -> range:
@@ -83,9 +98,12 @@ class Network:
         self.v = {k: np.zeros_like(v) for k, v in self.p.items()}
         self.t = 0
 
-    def inputs(self, w: np.ndarray, slot: np.ndarray, on: np.ndarray) -> np.ndarray:
-        """Embeddings of words given by their buckets."""
-        return np.concatenate((self.p["word"][w], (on[:, :, None] * self.p["piece"][slot]).sum(axis=1)), axis=1)
+    def inputs(self, w: np.ndarray, slot: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Embeddings of words given by their buckets, next to the means of those of their pieces."""
+        if not len(w):
+            return np.zeros((0, 2 * DIM), np.float32)
+        mean = np.add.reduceat(self.p["piece"][slot], ends[:-1]) / np.diff(ends)[:, None].astype(np.float32)
+        return np.concatenate((self.p["word"][w], mean), axis=1)
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         """What the words add to the gates of both directions; row 0 is the padding."""
@@ -160,8 +178,8 @@ class Network:
 def train(texts: list[str], labels: list[int], epochs: int = 6, rate: float = 0.01, seed: int = 1) -> Network:
     net, rng = Network(seed), np.random.default_rng(seed)
     number: dict[str, int] = {}
-    docs = [frames(np.array([number.setdefault(w, len(number) + 1) for w in WORD.findall(t.lower())], dtype=np.int64)) for t in texts]
-    all_w, all_slot, all_on = pieces(list(number))
+    docs = [frames(np.array([number.setdefault(w, len(number) + 1) for w in split_words(t)], dtype=np.int64)) for t in texts]
+    all_w, all_slot, all_ends = pieces(list(number))
     y = np.array(labels, dtype=np.float32)
     for epoch in range(epochs):
         order = rng.permutation(len(docs))
@@ -169,8 +187,10 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, rate: float = 0.
             f = np.concatenate([docs[i] for i in lot])
             used, f = np.unique(np.concatenate(([0], f.ravel())), return_inverse=True)
             f = f[1:].reshape(-1, WINDOW)
-            w, slot, on = all_w[used[1:] - 1], all_slot[used[1:] - 1], all_on[used[1:] - 1]
-            x = net.inputs(w, slot, on)
+            w, lo, n = all_w[used[1:] - 1], all_ends[used[1:] - 1], np.diff(all_ends)[used[1:] - 1]
+            ends = np.concatenate(([0], np.cumsum(n)))
+            slot = all_slot[np.repeat(lo - ends[:-1], n) + np.arange(ends[-1])]
+            x = net.inputs(w, slot, ends)
             gates = net.gates(x)
             s = np.concatenate([net.forward(gates, f[a:a + 4096]) for a in range(0, len(f), 4096)])
             at, pick, grad = 0, [], []
@@ -196,7 +216,9 @@ def train(texts: list[str], labels: list[int], epochs: int = 6, rate: float = 0.
             g["word"], g["piece"] = np.zeros_like(net.p["word"]), np.zeros_like(net.p["piece"])
             live = np.flatnonzero(np.abs(dg).max(axis=1, initial=0) > 0)
             np.add.at(g["word"], w[live], dx[live, :DIM])
-            np.add.at(g["piece"], slot[live].ravel(), (on[live][:, :, None] * dx[live][:, None, DIM:]).reshape(-1, DIM))
+            own = np.repeat(np.arange(len(n)), n)
+            own, slot = (c[np.isin(own, live)] for c in (own, slot))
+            np.add.at(g["piece"], slot, (dx[:, DIM:] / n[:, None].astype(np.float32))[own])
             net.step(g, rate * (0.3 if epoch >= epochs - 2 else 1))
     return net
 
@@ -218,7 +240,7 @@ class Scorer:
         self.rows = np.concatenate([self.rows, *parts])
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        words = [WORD.findall(t.lower()) for t in texts]
+        words = [split_words(t) for t in texts]
         self._numbers(words)
         f = [frames(np.fromiter(map(self.number.__getitem__, w), np.int64, len(w))) for w in words]
         ends = np.cumsum([len(x) for x in f])

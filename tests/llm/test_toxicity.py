@@ -50,3 +50,22 @@ def test_odd_rows(spark):
     out = toxicity.score_texts(docs, some, epochs=1).collect()
     assert len(out) == 4 and all(0 <= r.score <= 1 for r in out)
     assert toxicity.score_texts(docs.limit(0), none).count() == 0
+
+
+def test_every_letter_counts():
+    w, slot, ends = toxicity.pieces(["a" * 20 + "bcde", "a" * 20 + "bcdf", "\u4e2d" * 23 + "\u6587", "\u4e2d" * 24, "ab"])
+    own = [sorted(slot[a:b]) for a, b in zip(ends, ends[1:])]
+    assert w[0] != w[1] and own[0] != own[1] and w[2] != w[3] and own[2] != own[3]
+    assert [len(x) for x in own] == [24 + 3, 24 + 3, 72 + 3, 72 + 3, 2]
+    long = "\u4e2d" * 100
+    assert "".join(toxicity.split_words(f"{long} x")) == f"{long}x" and max(map(len, toxicity.split_words(long))) <= toxicity.LETTERS
+    score = toxicity.Scorer(toxicity.Network(2))
+    calm, late = score([long, long[:60] + "\u6587" * 40])
+    assert calm != late and len(score(["", "x" * 100_000])) == 2
+
+
+def test_piece_gradients_reach_every_piece():
+    texts = ["good day " * 5 + "fine" * 6, "bad day " * 5 + "vile" * 6] * 4
+    net = toxicity.train(texts, [0, 1] * 4, epochs=6)
+    low, high = toxicity.Scorer(net)(texts[:2])
+    assert low < high
