@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tablescout.session import cut_lineage, ensure_checkpoint_dir
 
@@ -85,6 +85,22 @@ def components(edges: DataFrame, a: str, b: str, persist=cut_lineage) -> DataFra
     return stars.union(roots)
 
 
+def ranked(df: DataFrame, groups: list[str], order: list[Column]) -> DataFrame:
+    """`pos` (from 0) of each row in its group by `order`, `n` rows of the group. Group columns hold no null.
+
+    Rows are dealt by range over group and order and counted in each slice, so that a group may be larger than a task. Rows that
+    are equal in everything follow in the order of a number that is given once and kept.
+    """
+    d = cut_lineage(df.withColumn("_u", F.monotonically_increasing_id()))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = cut_lineage(d.repartitionByRange(parts, *groups, *order, "_u").withColumn("_s", F.spark_partition_id()))
+    before = W.partitionBy(*groups).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
+    starts = d.groupBy(*groups, "_s").agg(F.count(F.lit(1)).alias("_c")).select(
+        *groups, "_s", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"), F.sum("_c").over(W.partitionBy(*groups)).alias("n"))
+    here = F.row_number().over(W.partitionBy(*groups, "_s").orderBy(*order, "_u"))
+    return d.join(starts, [*groups, "_s"]).withColumn("pos", F.col("_before") + here - 1).drop("_u", "_s", "_before")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, shared by driver and executors."""
     ensure_checkpoint_dir(spark)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescout.llm import decontaminate, license_scan, line_dedup, packing, simhash, span_dedup, substring_dedup, topk, toxicity, url_filter
+from tablescout.llm import decontaminate, license_scan, line_dedup, merkle, packing, prefix_trie, simhash, span_dedup, substring_dedup, topk, toxicity, url_filter
 from tablescout.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,77 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
     return d.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+# Reflected CRC-32 of the ASCII digits of an integer, which DuckDB has no function for.
+def _crc_sql(x: str) -> str:
+    step = "list_reduce(list_prepend(xor(c, b), range(8)), lambda a, i: xor(a >> 1, (a & 1) * 3988292384))"
+    digits = f"list_transform(string_split(({x})::BIGINT::VARCHAR, ''), lambda d: ord(d)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda c, b: {step}), 4294967295)"
+
+
+DOC_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _merkle_sql() -> str:
+    """Level by level with recursive queries."""
+    leaf = lambda text: "sha256(" + " || ".join(
+        f"coalesce(strlen(({text if c == 'text' else c})::VARCHAR)::VARCHAR || ':' || ({text if c == 'text' else c})::VARCHAR, '-')" for c in DOC_COLUMNS) + ")"
+
+    def tree(t: str, nodes: str) -> str:
+        """t: all nodes (g, lvl, i, n, h); t_run: the hashes of each run; t_path: (g, i, flanks) of each leaf."""
+        return f"""{t}(g, lvl, i, n, h) AS (SELECT g, 0::BIGINT, i, n, h FROM {nodes} UNION ALL
+    SELECT g, lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM {t} WHERE n > 1 GROUP BY g, lvl, n, i // 3),
+  {t}_run AS (SELECT g, lvl, i // 3 AS run, list(h ORDER BY i) AS hs FROM {t} WHERE n > 1 GROUP BY g, lvl, i // 3),
+  {t}_path(g, leaf_i, lvl, i, ls, rs) AS (SELECT g, i, 0::BIGINT, i, []::VARCHAR[], []::VARCHAR[] FROM {nodes} UNION ALL
+    SELECT p.g, leaf_i, p.lvl + 1, p.i // 3, list_append(ls, array_to_string(hs[1:p.i % 3], '')), list_append(rs, array_to_string(hs[p.i % 3 + 2:], ''))
+    FROM {t}_path p JOIN {t}_run r ON p.g = r.g AND p.lvl = r.lvl AND p.i // 3 = r.run)"""
+
+    return f"""WITH RECURSIVE d AS (SELECT doc_id, coalesce('s' || source, '') AS g, {leaf("text")} AS h,
+    CASE WHEN {_crc_sql("doc_id")} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS found FROM documents),
+  nodes AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+  {tree("t", "nodes")},
+  subs AS (SELECT g AS src, '' AS g, h, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+  {tree("u", "subs")},
+  deep AS (SELECT * FROM t_path p WHERE lvl = (SELECT max(lvl) FROM t WHERE t.g = p.g)),
+  high AS (SELECT src, h AS subroot, ls, rs, (SELECT h FROM u WHERE n = 1) AS root FROM subs s JOIN u_path p ON s.i = p.leaf_i AND lvl = (SELECT max(lvl) FROM u)),
+  paths AS (SELECT doc_id, nodes.h AS leaf, found, subroot, root, list_concat(deep.ls, high.ls) AS ls, list_concat(deep.rs, high.rs) AS rs
+    FROM nodes JOIN deep ON nodes.g = deep.g AND nodes.i = deep.leaf_i JOIN high ON nodes.g = high.src),
+  f AS (SELECT *, list_reduce(list_prepend(found, list_transform(range(1, len(ls) + 1), lambda k: ls[k] || '|' || rs[k])), lambda a, s:
+    sha256(split_part(s, '|', 1) || a || split_part(s, '|', 2))) AS folded_root FROM paths)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(range(1, len(ls) + 1), lambda k: ls[k] || rs[k]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified FROM f"""
+
+
+@query("op12_merkle_manifest", _merkle_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    shorn = {"text": F.regexp_replace("text", "\n", "")}
+    return merkle.manifest(docs, DOC_COLUMNS, changed=shorn, tampered=F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+
+
+OP13 = rf"""WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+  k AS (SELECT conv_id, pos, md5(strlen(role)::VARCHAR || ':' || role || text) AS key, len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM t),
+  c AS (SELECT DISTINCT conv_id, {_crc_sql("conv_id")} % 4 AS h FROM k),
+  r AS (SELECT c.conv_id, pos, key, words FROM c JOIN k ON k.conv_id = c.conv_id - c.conv_id % 20 WHERE pos < h UNION ALL
+    SELECT conv_id, pos, key, words FROM c JOIN k USING (conv_id) WHERE pos >= h),
+  s AS (SELECT c.conv_id, coalesce(list(key ORDER BY pos) FILTER (WHERE key IS NOT NULL), []) AS keys, coalesce(list(words ORDER BY pos) FILTER (WHERE key IS NOT NULL), []) AS words
+    FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+  m AS (SELECT conv_id, len(keys) AS length, unnest(range(0, len(keys) + 1)) AS depth, keys, words FROM s),
+  n AS (SELECT depth, array_to_string(keys[1:depth], '') AS path, any_value(keys[1:depth]) AS keys, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(words[depth], 0)) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE length = depth), '')) AS ends_sha256 FROM m GROUP BY ALL),
+  p AS (SELECT array_to_string(keys[1:depth - 1], '') AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+  e AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN p USING (path)),
+  a AS (SELECT unnest(range(0, depth + 1)) AS up, keys, n_children, (n_convs - 1) * words AS saved FROM e),
+  u AS (SELECT array_to_string(keys[1:up], '') AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM a GROUP BY ALL)
+SELECT e.conv_id, e.depth, up.conv_id AS parent_conv_id, e.n_convs, e.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, e.ends_sha256
+FROM e JOIN u USING (path) LEFT JOIN n up ON e.depth > 0 AND up.path = array_to_string(e.keys[1:e.depth - 1], '')"""
+
+
+@query("op13_prefix_trie", OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    own = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    sequences = prefix_trie.rebuilt(own, conv - conv % 20, F.crc32(conv.cast("string")) % 4)
+    return prefix_trie.trie(sequences).drop("path")
