@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablescout.llm import decontaminate, license_scan, line_dedup, merkle, packing, prefix_trie, simhash, span_dedup, substring_dedup, topk, toxicity, url_filter
+from tablescout.llm import decontaminate, license_scan, line_dedup, merkle, packing, pivots, prefix_trie, simhash, span_dedup, substring_dedup, topk, toxicity, url_filter
 from tablescout.llm.common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,7 +203,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP13 = rf"""WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
     md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
-  k AS (SELECT conv_id, pos, md5(strlen(role)::VARCHAR || ':' || role || text) AS key, len(regexp_extract_all(text, '[^ 	-]+')) AS words FROM t),
+  k AS (SELECT conv_id, pos, md5(strlen(role)::VARCHAR || ':' || role || text) AS key, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words FROM t),
   c AS (SELECT DISTINCT conv_id, {_crc_sql("conv_id")} % 4 AS h FROM k),
   r AS (SELECT c.conv_id, pos, key, words FROM c JOIN k ON k.conv_id = c.conv_id - c.conv_id % 20 WHERE pos < h UNION ALL
     SELECT conv_id, pos, key, words FROM c JOIN k USING (conv_id) WHERE pos >= h),
@@ -226,3 +227,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = prefix_trie.turns(table(spark, sf_dir, "conversations"))
     sequences = prefix_trie.rebuilt(own, conv - conv % 20, F.crc32(conv.cast("string")) % 4)
     return prefix_trie.trie(sequences).drop("path")
+
+
+@query("op11_embedding_near_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), similarity=0.9)
