@@ -295,7 +295,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     def pack(batch: pa.RecordBatch) -> pa.Table:
         kind = np.float64 if wide else np.float32
-        raw = [None if x is None else np.asarray(x.values, kind).tobytes() for x in batch.column(1)]
+        raw = [np.asarray(x.values, kind).tobytes() if x.is_valid else None for x in batch.column(1)]
         return pa.Table.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["id", "raw"])
 
     rows = cut_lineage(arrow_map(vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.when(fine, v).alias("v")), pack, "id long, raw binary"))

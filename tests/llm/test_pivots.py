@@ -32,7 +32,7 @@ def brute(rows):
             low[find(k)] = min(low.get(find(k), i), i)
     comp = [low.get(find(k)) for k in range(n)]
     out = [(ok[k][0], int(links[k].sum()), comp[k], ok[k][0] == comp[k]) for k in range(n)]
-    taken = {id(v) for v in rows} and [r for r in rows if not (r[1] and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1]))]
+    taken = [r for r in rows if not (r[1] and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1]))]
     return sorted(out + [(i, 0, i, True) for i, _ in taken], key=str)
 
 
