@@ -1,4 +1,7 @@
+import os
 import re
+import shutil
+import subprocess
 import sys
 
 import pytest
@@ -65,6 +68,14 @@ def test_keep_first_line(spark):
     assert drop_repeated_lines(docs.limit(0)).count() == 0
 
 
-def test_rest_of_the_library_does_not_need_this():
+def test_rest_of_the_library_does_not_need_this(tmp_path):
+    """A clone without both folders imports, with and without the pipeline's file."""
+    repo, clone = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), tmp_path / "clone"
+    shutil.copytree(repo, clone, ignore=lambda d, names: [n for n in names if n in (".git", "llm", "__pycache__")])
+    look = "import __spark_entry__ as e, os; q = e.queries(); print(os.path.dirname(e.__file__), len(q), any(k.startswith('op') or k == 'pipeline' for k in q), set(e.oracle_sql()) <= set(q))"
+    for _ in range(2):
+        out = subprocess.run([sys.executable, "-c", look], cwd=clone, env={**os.environ, "PYTHONPATH": str(clone)}, capture_output=True, text=True, check=True).stdout.split()
+        assert out[0] == str(clone) and int(out[1]) > 200 and out[2:] == ["False", "True"]
+        (clone / "corpus_pipeline.py").unlink(missing_ok=True)
     import __spark_entry__
-    assert "pipeline" in __spark_entry__.queries() and sys.modules["corpus_pipeline"]
+    assert "pipeline" in __spark_entry__.queries()
