@@ -48,3 +48,20 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder every executor can reach: below spark.checkpoint.dir, or in the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or f"{_warehouse(spark)}/_scratch"
     return f"{shared.rstrip('/')}/tablescout-{name}-{uuid.uuid4().hex}"
+
+
+class Rounds:
+    """Tables that a loop writes anew in each round, below the shared folder; the last two states of each are on disk.
+
+    A checkpoint keeps the optimizer's size estimate of the plan behind it. In a loop of joins these estimates multiply from round to
+    round until they take longer than the work; a table that is read again has the size of its files, small ones are broadcast by it.
+    """
+
+    def __init__(self, spark: SparkSession, name: str = "rounds"):
+        self.spark, self.root, self.turn = spark, scratch_dir(spark, name), {}
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        turn = self.turn[name] = 1 - self.turn.get(name, 1)
+        path = f"{self.root}/{name}-{turn}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
