@@ -1,6 +1,6 @@
 """Registered queries over the driver's tables and their DuckDB counterparts."""
 
-MODULES = ["q_names", "q_catalog", "q_assets", "q_eval", "q_ml"]
+MODULES = ["q_names", "q_catalog", "q_assets", "q_eval", "q_ml", "q_graphs"]
 
 
 def all_queries():
