@@ -22,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablescout.functions import text as T
-from tablescout.operators.grouping import attach, best_row
-from tablescout.session import cut_lineage
+from tablescout.operators.grouping import attach, best_row, top_k
+from tablescout.session import Rounds, cut_lineage
 
 
 
@@ -211,10 +211,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str) -> DataF
 
     Large-star and small-star rounds alternate; both only group by node with a
     combinable minimum, edges shrink towards stars, and the number of rounds
-    grows with the logarithm of the longest chain. Each round is checkpointed.
+    grows with the logarithm of the longest chain. Each round is written out.
     """
-    e = cut_lineage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                    .filter("u <> v").distinct())
+    rounds = Rounds(edges.sparkSession, "components")
+    e = rounds.put("e", edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                   .filter("u <> v").distinct())
     fingerprint = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -225,7 +226,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str) -> DataF
         low2 = down.groupBy("u").agg(F.min("v").alias("m"))
         small = (down.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
                  .unionByName(low2.select("u", F.col("m").alias("v"))).distinct())
-        e = cut_lineage(small)
+        e = rounds.put("e", small)
         stats = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
         if (stats.n, stats.h) == fingerprint:
             break
@@ -235,10 +236,57 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str) -> DataF
             .select(node, F.coalesce("v", node).alias("component")))
 
 
+TRIES = 2  # comparisons with other components that each first component may make in the first round
+
+
+def spanning_links(names: DataFrame, text: str, floor: float) -> DataFrame:
+    """(a, b, sim): links with cosine at or above the floor whose connected components are those of all such pairs.
+
+    Names that differ by a trailing number only are compared with the smallest of them; those at the floor or above start as one
+    component. From then on a name is held against components, not names: with the largest weight that each gram has in a component
+    an upper bound of its similarity to any member follows, and what stays below the floor ends there. Of what is left each first
+    component makes the comparisons of the highest bounds, one link joins a pair of components and ends it, and pairs that are still
+    apart follow in growing numbers until none is left, so that no link is lost. A round has at most `tries` links for each first
+    component: the links grow with the names, not with their square.
+    """
+    docs = names.select(F.col(text).alias("t")).filter("t <> ''").distinct()
+    vectors = cut_lineage(_sorted_vectors(docs, "t", char_wb_grams(F.col("t"))))
+    rounds = Rounds(names.sparkSession, "links")
+    v = rounds.put("v", _with_prefix(vectors, min(floor, PREFIX_NORM)))
+    q, c = v.withColumnRenamed("t", "q"), v.select(F.col("t").alias("c"), "vec")
+    family = v.select("t", F.regexp_replace("t", r"\s*\p{Nd}+$", "").alias("family"))
+    first = family.groupBy("family").agg(F.min("t").alias("low"))
+    star = _score(family.join(first, "family").filter("t <> low").select(F.col("t").alias("q"), F.col("low").alias("c")), q, c)
+    star = rounds.put("star", star.filter(F.col("sim") >= floor).select("q", "c", "sim"))
+    home = rounds.put("home", v.select("t").join(star.select(F.col("q").alias("t"), F.col("c").alias("first")), "t", "left")
+                      .select("t", F.coalesce("first", "t").alias("home")))
+    grams = lambda col, weight: v.join(home, "t").select("t", "home", "rem", F.explode(col).alias("g")).select("t", "home", "rem", "g.term", F.col("g.w").alias(weight))
+    most = grams("vec", "w").groupBy("term", F.col("home").alias("other")).agg(F.max("w").alias("most"))
+    bound = (grams("kept", "w").join(most, "term").filter("home < other").groupBy("t", "home", "rem", "other")
+             .agg((F.sum(F.col("w") * F.col("most")) + F.col("rem")).alias("bound")).filter(F.col("bound") >= floor - 1e-9))
+    open_ = rounds.put("open", bound.select("t", "home", "other", F.round("bound", 9).alias("bound")))
+    links, now, tries = star.select(F.col("c").alias("a"), F.col("q").alias("b"), "sim"), home.select("home").distinct().withColumn("part", F.col("home")), TRIES
+    while not open_.isEmpty():
+        tried = rounds.put("tried", top_k(open_, ["home"], [F.desc("bound"), F.col("other"), F.col("t")], tries).drop("rn"))
+        members = home.select(F.col("t").alias("c"), F.col("home").alias("other"))
+        pairs = tried.select(F.col("t").alias("q"), "home", "other").join(members, "other")
+        found = _score(pairs, q, c).filter(F.col("sim") >= floor).withColumn("o", -F.round("sim", 9))
+        found = rounds.put(f"found{tries}", best_row(found, ["home", "other"], ["o", "q", "c"], ["q", "c", "sim"]))
+        links = links.union(found.select(F.least("q", "c").alias("a"), F.greatest("q", "c").alias("b"), "sim"))
+        joined = found.join(now.select("home", F.col("part").alias("a")), "home").join(now.select(F.col("home").alias("other"), F.col("part").alias("b")), "other").select("a", "b")
+        parts = connected_components(now.select("part"), joined, "part").withColumnRenamed("component", "to")
+        now = rounds.put("now", now.join(parts, "part").select("home", F.col("to").alias("part")))
+        apart = (open_.join(tried.select("t", "other"), ["t", "other"], "left_anti").join(now.select("home", F.col("part").alias("p1")), "home")
+                 .join(now.select(F.col("home").alias("other"), F.col("part").alias("p2")), "other").filter("p1 <> p2"))
+        open_ = rounds.put("open", apart.select("t", "home", "other", "bound"))
+        tries *= 8
+    return links
+
+
 def name_clusters(names: DataFrame, text: str, floor: float = 0.5) -> DataFrame:
     """Connected components of the similarity graph."""
     return connected_components(names.select(text).filter(F.col(text) != ""),
-                                similar_pairs(names, text, floor), text)
+                                spanning_links(names, text, floor), text)
 
 
 def cluster_labels(members: DataFrame, text: str, cluster: str = "component") -> DataFrame:

@@ -5,7 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 
-from tablescout.operators import graphs as G
+from tablescout.operators import graphs as G, textsim as X
 
 
 def noise(i, k):
@@ -118,3 +118,40 @@ def test_graphs_without_edges(spark):
     assert {(r.t, r.cluster) for r in G.average_linkage(nodes, links, "t").collect()} == {("x", "x"), ("y", "y")}
     assert {(r.t, r.exemplar) for r in G.affinity_propagation(nodes, links, "t", rounds=2).collect()} == {("x", "x"), ("y", "y")}
     assert G.average_linkage(nodes.limit(0), links, "t").count() == 0
+
+
+def components_of(names, pairs):
+    root = {x: x for x in names}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in names}
+
+
+@pytest.mark.parametrize("tries", [2, 50])
+def test_spanning_links_keep_the_components(spark, monkeypatch, tries):
+    """Large families by number, families that link by some members only, and words of their own."""
+    monkeypatch.setattr(X, "TRIES", tries)
+    rng = np.random.default_rng(4)
+    parts = ["cli", "ente", "fono", "tel", "er", "ma", "sol", "dir"]
+    words = {"".join(rng.choice(parts, rng.integers(2, 4))) + str(rng.integers(0, 30) or "") for _ in range(110)}
+    names = sorted(words | {f"cliente{k}" for k in range(1, 60)} | {f"cliente id{k}" for k in range(1, 20)} | {"cliente123456789", "telefono 7"})
+    d = spark.createDataFrame([(x,) for x in names], "t string")
+    pairs = [(r.a, r.b) for r in X.similar_pairs(d, "t", 0.3).collect()]
+    links = X.spanning_links(d, "t", 0.3).collect()
+    assert {(r.a, r.b) for r in links} <= set(pairs)
+    assert components_of(names, [(r.a, r.b) for r in links]) == components_of(names, pairs)
+    assert tries > 2 or len(links) < 2 * len(names)
+
+
+def test_one_family_has_links_in_proportion(spark):
+    d = spark.createDataFrame([(f"cliente{k}",) for k in range(1, 201)], "t string")
+    links = X.spanning_links(d, "t", 0.3).collect()
+    assert 199 <= len(links) <= 600 < X.similar_pairs(d, "t", 0.3).count()
+    names = [f"cliente{k}" for k in range(1, 201)]
+    assert len(set(components_of(names, [(r.a, r.b) for r in links]).values())) == 1
