@@ -84,8 +84,14 @@ register("s9_metric_table", lambda s, d: E.long_metrics(E.macro_metrics(_s(s, d)
 SELECT 'macro_f1' AS metric, 'value' AS variant, a AS value FROM m UNION ALL SELECT 'macro_recall', 'value', b FROM m UNION ALL SELECT 'accuracy', 'value', c FROM m UNION ALL SELECT 'n_classes', 'value', k FROM m
 UNION ALL SELECT 'brier', 'value', round(avg((p - y) * (p - y)), 6) FROM scored""")
 register("e13_compare_modes", lambda s, d: E.compare_modes(_s(s, d), "mode", "p", "y"),
-         f"""{W}, c AS (SELECT mode, count(*) FILTER (WHERE y = 1 AND p >= 0.5) AS tp, count(*) FILTER (WHERE y = 0 AND p >= 0.5) AS fp, count(*) FILTER (WHERE y = 1 AND p < 0.5) AS fn FROM scored GROUP BY 1)
-SELECT mode, round({rates()['recall']}, 3) AS recall, round({rates()['f1']}, 3) AS f1 FROM c""")
+         f"""{W}, c AS (SELECT mode, count(*) FILTER (WHERE y = 1 AND p >= 0.5) AS tp, count(*) FILTER (WHERE y = 0 AND p >= 0.5) AS fp, count(*) FILTER (WHERE y = 1 AND p < 0.5) AS fn FROM scored GROUP BY 1),
+fx AS (SELECT mode, round({rates()['recall']}, 3) AS recall, round({rates()['f1']}, 3) AS f1 FROM c), sc AS (SELECT mode, p, sum(y)::BIGINT AS pos, count(*) AS n FROM scored GROUP BY 1, 2),
+cu AS (SELECT mode, p AS threshold, sum(pos) OVER w AS tp, sum(n) OVER w AS hit, sum(pos) OVER (PARTITION BY mode) AS tot FROM sc WINDOW w AS (PARTITION BY mode ORDER BY p DESC)),
+c2 AS (SELECT mode, threshold, tp, hit - tp AS fp, tot - tp AS fn FROM cu), cv AS (SELECT mode, threshold, {', '.join(f'{e} AS {k}' for k, e in rates().items())} FROM c2),
+bs AS (SELECT mode, arg_min(threshold, (-round(f2, 9), threshold)) AS tb FROM cv GROUP BY 1), op AS (SELECT mode, tb, f2 AS f2max, precision AS prec_en_thr, recall AS rec_en_thr,
+ coalesce((SELECT max(threshold) FROM cv x WHERE x.mode = cv.mode AND x.threshold < tb), tb) AS thr_f2 FROM cv JOIN bs USING (mode) WHERE threshold = tb),
+al AS (SELECT mode, recall, f1, round(f2max, 3) AS f2max, round(thr_f2, 3) AS thr_f2, round(prec_en_thr, 3) AS prec_en_thr, round(rec_en_thr, 3) AS rec_en_thr FROM fx JOIN op USING (mode))
+SELECT *, mode = (SELECT arg_min(mode, (-f2max, -f1, mode)) FROM al) AS ganador FROM al""")
 register("w7_ranked_errors", lambda s, d: E.ranked_errors(_s(s, d), "p", "y", 0.5, "name"),
          f"""{W}, r AS (SELECT name, round(p, 4) AS prob, y = 1 AS r, p >= 0.5 AS h FROM scored) SELECT * FROM (SELECT 'FN' AS kind, name, prob FROM r WHERE r AND NOT h ORDER BY prob DESC, name LIMIT 15)
 UNION ALL SELECT * FROM (SELECT 'FP', name, prob FROM r WHERE h AND NOT r ORDER BY prob DESC, name LIMIT 15)""")

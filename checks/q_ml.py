@@ -8,7 +8,7 @@ from checks import adapters as A, sqltext as S
 from checks.q_catalog import CAT, DEF, _deficit_rows
 from checks.registry import register
 from tablescout.functions import text as T, vocabulary as V
-from tablescout.operators import augment as AU, catalog as C, evaluate as E, features as FT, labels as L, models as M, textsim as X
+from tablescout.operators import augment as AU, calibration as CA, catalog as C, evaluate as E, features as FT, labels as L, models as M, textsim as X
 from tablescout.operators.grouping import attach
 from tablescout.operators.splits import bucket
 from tablescout.plans import flows
@@ -21,9 +21,9 @@ LN = f"ln AS (SELECT DISTINCT {S.light('name')} AS light FROM gold WHERE {S.ligh
 register("m1_char_tfidf", lambda s, d: X.tfidf(_light_names(s, d), "light", X.char_wb_grams(F.col("light"))).select("light", "term", "df", F.round("w", 6).alias("w")),
          f"WITH {A.GOLD}, {LN}, {S.grams('ln', 'light', 'light')}, {S.vectors('grams', 'ln')} SELECT k AS light, g AS term, df, round(w, 6) AS w FROM vec")
 _m1b = f"""WITH {A.GOLD}, {LN}, {S.grams('ln', 'light', 'light', 2, 5)}, tf AS (SELECT k, g, count(*)::DOUBLE AS tf FROM grams GROUP BY 1, 2),
-dfs AS (SELECT g, count(*) AS df, ln((1 + (SELECT count(*) FROM ln)) / CAST(1 + count(*) AS DOUBLE)) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) >= 2 ORDER BY sum(tf) DESC, g LIMIT 500),
+dfs AS (SELECT g, count(*) AS df, ln((1 + (SELECT count(*) FROM ln)) / CAST(1 + count(*) AS DOUBLE)) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) >= 2 ORDER BY sum(tf) DESC, g LIMIT 5000),
 raw AS (SELECT k, g, tf * idf AS w FROM tf JOIN dfs USING (g)), nm AS (SELECT k, sqrt(sum(w * w)) AS n FROM raw GROUP BY 1) SELECT k AS light, g AS term, round(w / n, 6) AS w FROM raw JOIN nm USING (k)"""
-register("m1_char_tfidf_limited", lambda s, d: X.tfidf(_light_names(s, d), "light", X.char_wb_grams(F.col("light"), 2, 5), 2, 500).select("light", "term", F.round("w", 6).alias("w")), _m1b)
+register("m1_char_tfidf_limited", lambda s, d: X.tfidf(_light_names(s, d), "light", X.char_wb_grams(F.col("light"), 2, 5), 2, 5000).select("light", "term", F.round("w", 6).alias("w")), _m1b)
 
 
 def _turns(s, d):
@@ -208,7 +208,7 @@ def _m13(s, d):
 
 
 register("m13_binary_classifier", _m13)
-register("m14_candidate_comparison", lambda s, d: (lambda h: M.compare_candidates(h[0], h[1], ["logistic", "svm", "gbt"], 0.5, NUMERIC, "w", min_df=2, char_features=300, word_features=50))(_hold(_train_rows(s, d))))
+register("m14_candidate_comparison", lambda s, d: (lambda h: M.compare_candidates(h[0], h[1], ["logistic", "svm", "gbt"], 0.5, NUMERIC, "w", entity="entity", gate=["correo", "nombre", "rfc", "telefono"], min_df=2))(_hold(_train_rows(s, d))))
 
 
 def _masked(s, d):
@@ -221,7 +221,7 @@ def _masked(s, d):
     empty = F.array().cast("array<string>")
     b = tr.withColumn("has_description", F.when(hide, 0).otherwise(1)).withColumn("words", F.when(hide, empty).otherwise(F.col("words")))
     scored = M.compare_masked(tr, te, {"A": (tr.withColumn("words", F.array(F.lit("none"))), ["n_chars"]), "B": (b, ["n_chars", "has_description"])})
-    return E.compare_modes(cut_lineage(scored), "mode", "prob", "y")
+    return E.compare_modes(cut_lineage(scored), "mode", "prob", "y", contest=F.endswith("mode", F.lit("/enmascarada")))
 
 
 register("e13_masked_variants", _masked)
@@ -247,6 +247,24 @@ def _m17(s, d):
 register("m17_platt_calibration", _m17)
 
 
+def _newton_sql(rounds: int = 9) -> str:
+    """Fixed Newton rounds over the distinct scores, one row each."""
+    ctes, p = [A.SCORED, "xs AS (SELECT p AS x, y::DOUBLE AS t, count(*)::DOUBLE AS w FROM scored GROUP BY 1, 2)", "c0 AS (SELECT 0::DOUBLE AS a, 0::DOUBLE AS b)"], "(1 / (1 + exp(-(x * a + b))))"
+    for n in range(1, rounds + 1):
+        ctes += [f"g{n} AS (SELECT a, b, sum(w * ({p} - t) * x) + a AS ga, sum(w * ({p} - t)) AS gb, sum(w * {p} * (1 - {p}) * x * x) + 1 AS haa, sum(w * {p} * (1 - {p}) * x) AS hab, sum(w * {p} * (1 - {p})) AS hbb FROM xs, c{n - 1} GROUP BY a, b)",
+                 f"c{n} AS MATERIALIZED (SELECT a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS a, b - (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS b FROM g{n})"]
+    return "WITH " + ",\n".join(ctes) + f" SELECT x AS raw, t::INTEGER AS y, w::BIGINT AS n, round({p}, 6) AS calibrated, round(a, 6) AS slope, round(b, 6) AS intercept FROM xs, c{rounds}"
+
+
+def _newton(s, d):
+    fit = CA.fit_sigmoid(A.scored(s, d), "p", "y")
+    counts = A.scored(s, d).groupBy(F.col("p").alias("raw"), "y").agg(F.count("*").alias("n"))
+    return counts.select("raw", "y", "n", F.round(fit(F.col("raw")), 6).alias("calibrated"), F.round(F.lit(fit.slope), 6).alias("slope"), F.round(F.lit(fit.intercept), 6).alias("intercept"))
+
+
+register("m17_newton_calibration", _newton, _newton_sql())
+
+
 def _m18(s, d):
     r = _train_rows(s, d).filter("entity IS NOT NULL")
     o = cut_lineage(M.entity_out_of_fold(r, 3, _kids(r), **_small).select("name", "entity", "pred_base", "pred_aug"))

@@ -210,12 +210,26 @@ def long_metrics(one_row: DataFrame, variant: str) -> DataFrame:
         "metric", F.lit(variant).alias("variant"), "value")
 
 
-def compare_modes(df: DataFrame, mode: str, score: str, label: str, threshold: float = 0.5) -> DataFrame:
-    """Recall and F1 per value of `mode` (for example masked / intact)."""
+def compare_modes(df: DataFrame, mode: str, score: str, label: str, threshold: float = 0.5, contest: Column | None = None) -> DataFrame:
+    """One row per value of `mode`, a small set such as masked / intact.
+
+    Recall and F1 at `threshold`; the highest F2 with the operating threshold one
+    score below it and the rates there; `ganador` marks the mode of the highest
+    (F2, F1) among those that meet `contest` (all by default).
+    """
     hit = F.col("score") >= threshold
-    counts = df.groupBy(mode, F.col(score).alias("score")).agg(
-        F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n"))
+    counts = cut_lineage(df.groupBy(mode, F.col(score).alias("score")).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"), F.count("*").alias("n")))
     fixed = counts.groupBy(mode).agg(F.sum("pos").alias("p"), F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
                                      F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("h"))
     rates = rate_columns(F.col("tp"), F.col("h") - F.col("tp"), F.col("p") - F.col("tp"))
-    return fixed.select(mode, F.round(rates["recall"], 3).alias("recall"), F.round(rates["f1"], 3).alias("f1"))
+    fixed = fixed.select(mode, F.round(rates["recall"], 3).alias("recall"), F.round(rates["f1"], 3).alias("f1"))
+    values = [r[0] for r in fixed.select(mode).collect()]  # one row a mode
+    best = [threshold_below_best_f2(precision_recall_curve(df.filter(F.col(mode).eqNullSafe(F.lit(v))), score, label)).select(
+        F.lit(v).cast("string").alias(mode), *[F.round(c, 3).alias(c) for c in ("f2max", "thr_f2", "prec_en_thr", "rec_en_thr")]) for v in values]
+    if not best:
+        return fixed.select("*", *[F.lit(None).cast("double").alias(c) for c in ("f2max", "thr_f2", "prec_en_thr", "rec_en_thr")], F.lit(False).alias("ganador"))
+    out = cut_lineage(fixed.join(reduce(lambda a, b: a.unionByName(b), best), mode))
+    meets = contest if contest is not None else F.lit(True)
+    first = out.filter(meets).agg(F.min(F.struct((-F.col("f2max")).alias("a"), (-F.col("f1")).alias("b"), F.col(mode).alias("m"))).alias("k")).select(F.col("k.m").alias("_first"))
+    return attach(out, first).withColumn("ganador", F.coalesce(F.col(mode) == F.col("_first"), F.lit(False))).drop("_first")

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablescout.functions import rules as R, scores as S, text as T, vocabulary as V
 from tablescout.operators import evaluate as E
+from tablescout.operators.calibration import Sigmoid, calibrated_over_folds, fit_sigmoid
 from tablescout.operators.features import balanced_weights, imbalance_weight
 from tablescout.operators.grouping import attach
 from tablescout.operators.splits import fold_of
@@ -96,11 +97,7 @@ class BinaryModel:
         keep = df.columns
         s = self.classifier.transform(self.features.transform(df))
         s = s.withColumn("_raw", raw_score(s))
-        if self.calibrator is not None:
-            a, b = float(self.calibrator.coefficients[0]), float(self.calibrator.intercept)
-            value = 1 / (1 + F.exp(-(F.col("_raw") * a + b)))
-        else:
-            value = F.col("_raw")
+        value = self.calibrator(F.col("_raw")) if self.calibrator is not None else F.col("_raw")
         return s.select(*keep, value.alias(out))
 
 
@@ -117,14 +114,13 @@ def fit_binary(train: DataFrame, numeric: list[str] = (), kind: str = "logistic"
     return BinaryModel(fitted, binary_estimator(kind, weight).fit(fitted.transform(train)))
 
 
-def fit_platt(scored: DataFrame, raw: str = "oof_raw", y: str = "y"):
+def fit_platt(scored: DataFrame, raw: str = "oof_raw", y: str = "y") -> Sigmoid:
     """Sigmoid calibration: a logistic regression on the raw score alone."""
-    data = VectorAssembler(inputCols=[raw], outputCol="_f").transform(scored.select(raw, F.col(y).cast("double").alias("_y")))
-    return LogisticRegression(featuresCol="_f", labelCol="_y", maxIter=50).fit(data)
+    return fit_sigmoid(scored, raw, y)
 
 
-def apply_platt(model, raw: Column) -> Column:
-    return 1 / (1 + F.exp(-(raw * float(model.coefficients[0]) + float(model.intercept))))
+def apply_platt(model: Sigmoid, raw: Column) -> Column:
+    return model(raw)
 
 
 def out_of_fold(rows: DataFrame, k: int, numeric: list[str] = (), kind: str = "logistic", weight: str | None = None,
@@ -192,20 +188,26 @@ def entity_out_of_fold(rows: DataFrame, k: int, synthetic: DataFrame | None = No
 
 
 def compare_candidates(train: DataFrame, test: DataFrame, kinds: list[str], threshold: float, numeric: list[str] = (),
-                       weight: str | None = None, **features) -> DataFrame:
-    """Fit every candidate, score the same hold-out, rank by (recall, f1)."""
+                       weight: str | None = None, key: str = "name_norm", entity: str | None = None, gate: list[str] = V.GATE_ENTITIES, folds: int = 3, **features) -> DataFrame:
+    """Fit every candidate, score the same hold-out, rank by (recall, f1); the first one is the winner.
+
+    Linear candidates are calibrated over `folds` folds of `key`. Each row has the confusion at `threshold`, the Brier score, the
+    highest F2 with the operating threshold below it, and, with `entity`, the recall of each entity in `gate`.
+    """
     parts = []
     for kind in kinds:
-        model = fit_binary(train, numeric, kind, weight, **features)
-        if kind == "svm":  # a margin is no probability: calibrate it on rows that the classifier has not seen
-            part = F.pmod(F.xxhash64("grams"), F.lit(3))
-            held = fit_binary(train.filter(part > 0), numeric, kind, weight, **features)
-            model.calibrator = fit_platt(held.score(train.filter(part == 0), "oof_raw"))
-        scored = cut_lineage(model.score(test, "prob").select("prob", "y"))
-        row = E.confusion(scored, "prob", "y", threshold, 3)
-        loss = E.brier(scored, "prob", "y")
-        parts.append(attach(row, loss).withColumn("modelo", F.lit(kind)))
-    return reduce(lambda a, b: a.unionByName(b), parts).orderBy(F.desc("recall"), F.desc("f1"), "modelo")
+        fit = lambda rows: fit_binary(rows, numeric, kind, weight, **features)  # noqa: B023,E731
+        model = fit(train) if kind == "gbt" else calibrated_over_folds(train, fit, F.col(key), folds)
+        scored = cut_lineage(model.score(test, "prob").select("prob", "y", *([entity] if entity else [])))
+        row = attach(attach(E.confusion(scored, "prob", "y", threshold, 3), E.brier(scored, "prob", "y")),
+                     E.threshold_below_best_f2(E.precision_recall_curve(scored, "prob", "y")).select(F.round("f2max", 3).alias("f2max"), F.round("thr_f2", 3).alias("thr_f2")))
+        if entity:
+            gates = E.gate_recall(scored, "prob", "y", entity, threshold, gate)
+            row = attach(row, gates.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(entity, "recall")))).alias("rec_gate")))
+        parts.append(row.withColumn("modelo", F.lit(kind)))
+    out = cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
+    first = out.agg(F.min(F.struct((-F.col("recall")).alias("r"), (-F.col("f1")).alias("f"), "modelo")).alias("k")).select(F.col("k.modelo").alias("_first"))
+    return attach(out, first).withColumn("ganador", F.col("modelo") == F.col("_first")).drop("_first").orderBy(F.desc("recall"), F.desc("f1"), "modelo")
 
 
 def compare_masked(train: DataFrame, test: DataFrame, variants: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
@@ -221,18 +223,16 @@ def compare_masked(train: DataFrame, test: DataFrame, variants: dict[str, tuple[
 
 def score_two_stages(names: DataFrame, binary: BinaryModel, entity: EntityModel, threshold: float,
                      entity_threshold: float = V.ENTITY_THRESHOLD) -> DataFrame:
-    """Stage A on every row, stage B only on rows it flags, then the rule override.
+    """Stage A on every row, stage B where it flags one, then the rule override.
 
-    `names` needs tabla, name. Both stages are row-local, so the plan is one
-    pass without a shuffle: the flagged rows and the rest are two filtered
-    branches of the scored input.
+    `names` needs tabla, name. Both stages are row-local and follow each other on
+    the same rows, so the input is scanned and its terms are made once; what
+    stage B says of rows that are not flagged is dropped.
     """
     base = with_terms(names.withColumn("name_norm", T.normalize_name("name")), "name_norm")
     a = binary.score(base, "_p").withColumn("pii", F.col("_p") >= threshold)
-    flagged = entity.predict(a.filter("pii"))
-    plain = a.filter("NOT pii").withColumn("entity_ml", F.lit(None).cast("string")).withColumn(
-        "prob_entity", F.lit(None).cast("double"))
-    both = flagged.unionByName(plain).withColumn("prob_entity", F.bround("prob_entity", 4))
+    where = lambda c: F.when(F.col("pii"), F.col(c))
+    both = entity.predict(a).withColumn("entity_ml", where("entity_ml")).withColumn("prob_entity", F.bround(where("prob_entity"), 4))
     over = S.rule_override(F.col("entity_ml"), F.col("prob_entity"), F.col("_m"), entity_threshold)
     o = both.withColumn("_m", R.all_matches(F.col("name"))).withColumn("_o", F.when(F.col("pii"), over))
     return o.select("tabla", F.col("name").alias("columna"), "pii", F.bround("_p", 4).alias("prob_pii"),

@@ -221,9 +221,10 @@ def test_threshold_override_is_traceable(spark, tmp_path):
 def test_calibrated_candidates_give_probabilities(spark):
     from tablescout.operators import models as M
     rows = [(f"name{i}", ["^na", "x" if i % 3 else "y", f"g{i % 7}"], ["w"], 1.0, int(i % 3 == 0)) for i in range(90)]
-    df = spark.createDataFrame(rows, "name string, grams array<string>, words array<string>, n double, y int")
-    out = M.compare_candidates(df, df, ["svm", "logistic"], 0.5, ["n"], min_df=1, char_features=50, word_features=5).collect()
-    assert {r.modelo for r in out} == {"svm", "logistic"} and all(0 <= r.brier <= 1 for r in out)
+    df = spark.createDataFrame(rows, "name string, grams array<string>, words array<string>, n double, y int").withColumn("e", F.lit("a"))
+    out = M.compare_candidates(df, df, ["svm", "logistic"], 0.5, ["n"], key="name", entity="e", gate=["a", "zz"], min_df=1, char_features=50, word_features=5).collect()
+    assert {r.modelo for r in out} == {"svm", "logistic"} and all(0 <= r.brier <= 1 and 0 <= r.f2max <= 1 for r in out)
+    assert [r.ganador for r in out] == [True, False] and all(set(r.rec_gate) == {"a", "zz"} for r in out)
 
 
 def test_a_gate_without_metric_fails(spark):
