@@ -96,9 +96,11 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = NOTICES, share: flo
     d = keyed(docs, id_col, text_col).select("_i", "_h", F.col(f"_row.`{id_col}`").alias("doc_id"), F.lower("_t").alias("t"))
     d = d.filter(reduce(lambda a, b: a | b, [F.contains("t", F.lit(w)) for w in cover(templates)]))
     d = d.select("_i", "_h", "doc_id", F.filter(F.split("t", "[^a-z0-9]+"), lambda x: x != "").alias("words"))
-    # every size class reads these documents: they are written once
-    d = cut_lineage(d.select("_i", "_h", "doc_id", F.size("words").alias("n"), shingle_hashes(F.col("words")).alias("hashes")))
     every = template_table(spark, templates)
+    any_known = sorted({h for r in every.select("set").collect() for h in r["set"]})  # of the templates
+    # every size class reads the documents with a template's shingle: they are written once; in no other document does a window match
+    d = d.select("_i", "_h", "doc_id", F.size("words").alias("n"), shingle_hashes(F.col("words")).alias("hashes"))
+    d = cut_lineage(d.filter(F.arrays_overlap("hashes", F.array(*map(F.lit, any_known)))))
     parts = []
     for length in sorted({size_class(len(words_of(t))) for _, t in templates}):
         own = [n for n, (_, t) in enumerate(templates) if size_class(len(words_of(t))) == length]
