@@ -127,8 +127,10 @@ SELECT group_id, majority, CASE WHEN row_number() OVER (PARTITION BY majority OR
 UNION ALL SELECT group_id, majority, forced FROM tg WHERE forced IS NOT NULL""")
 register("m10_hash_folds", lambda s, d: _bin(s, d).select("name", SP.fold_of(F.col("group_id"), 3).alias("fold")), f"WITH {BIN} SELECT name, CAST({S.h32('group_id')} % 3 AS INTEGER) AS fold FROM bin")
 register("m10_balanced_folds", lambda s, d: SP.balanced_folds(_bin(s, d), "group_id", 3),
-         f"""WITH {BIN}, z AS (SELECT group_id, count(*) AS n FROM bin GROUP BY 1), r AS (SELECT group_id, n, row_number() OVER (ORDER BY n DESC, {S.h32('group_id')}, group_id) - 1 AS p FROM z)
-SELECT group_id, n, CAST(CASE WHEN (p // 3) % 2 = 0 THEN p % 3 ELSE 2 - p % 3 END AS INTEGER) AS fold FROM r""")
+         f"""WITH RECURSIVE {BIN}, z AS (SELECT group_id, count(*) AS n FROM bin GROUP BY 1), r AS MATERIALIZED (SELECT group_id, n, row_number() OVER (ORDER BY n DESC, {S.h32('group_id')}, group_id) AS p FROM z),
+w(p, loads, f) AS (SELECT 0::BIGINT, [0, 0, 0]::BIGINT[], 0 UNION ALL
+ SELECT r.p, list_transform(loads, lambda x, i: x + CASE WHEN i = list_position(loads, list_min(loads)) THEN r.n ELSE 0 END), list_position(loads, list_min(loads)) FROM w JOIN r ON r.p = w.p + 1)
+SELECT group_id, n, CAST(f - 1 AS INTEGER) AS fold FROM r JOIN w USING (p)""")
 register("m10_fold_count", lambda s, d: SP.fold_count(_bin(s, d).filter("pii = 1"), "entity", "group_id"),
          f"WITH {BIN} SELECT CAST(greatest(2, least(5, min(k))) AS INTEGER) AS n_splits FROM (SELECT count(DISTINCT group_id) AS k FROM bin WHERE pii = 1 GROUP BY entity)")
 register("m11_leakage_key", lambda s, d: A.words(s, d).groupBy(SP.leakage_key(F.lower("name"), F.col("dataset")).alias("g")).agg(F.count("*").alias("n")),

@@ -36,15 +36,16 @@ def transferred(neighbours: DataFrame) -> DataFrame:
 
 
 def propagate(rows: DataFrame, per_key: DataFrame, key: str = "key") -> DataFrame:
-    """Bring per-key results back to every row; empty names get their own class."""
-    has = F.col(key) != ""
-    j = rows.withColumn("has_name", has).join(per_key, key, "left")
-    return (j.withColumn("vecino", F.when(has, F.col("vecino")))
-            .withColumn("vecino_pii", F.when(has, F.col("vecino_pii")).otherwise(F.lit(False)))
-            .withColumn("similarity", F.when(has, F.col("similarity")).otherwise(F.lit(0.0)))
-            .withColumn("pii_final", F.when(has, F.col("pii_final")))
-            .withColumn("label_source", F.when(has, F.col("label_source")).otherwise(F.lit("nombre_vacio")))
-            .withColumn("sample_weight", F.when(has, F.col("sample_weight")).otherwise(F.lit(0.0))))
+    """Bring per-key results back to every row; empty names get their own class.
+
+    Rows with an empty or null key take no part in the join, where they would all meet in one task.
+    """
+    named = rows.filter(F.col(key) != "").withColumn("has_name", F.lit(True)).join(per_key, key, "left")
+    named = (named.withColumn("similarity", F.col("similarity").cast("double")).withColumn("sample_weight", F.col("sample_weight").cast("double")))
+    fixed = {"has_name": F.col(key) != "", "vecino_pii": F.lit(False), "similarity": F.lit(0.0), "label_source": F.lit("nombre_vacio"), "sample_weight": F.lit(0.0)}
+    rest = rows.filter(F.coalesce(F.col(key) == "", F.lit(True)))
+    rest = rest.select(*[fixed[c].alias(c) if c in fixed else F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in named.dtypes])
+    return named.unionByName(rest)
 
 
 def propagate_raw(rows: DataFrame, per_name: DataFrame) -> DataFrame:
@@ -148,7 +149,9 @@ def route_imports(neighbours: DataFrame, gold_entities: DataFrame,
                     ["name"], ["entity"], ["entity"]).select(
         F.col("name").alias("vecino"), F.col("entity").alias("entity_vecino"))
     known = gold_entities.select(F.trim("name").alias("name")).distinct().withColumn("_known", F.lit(True))
-    j = neighbours.join(ents, "vecino", "left").join(known, "name", "left")
+    # names without a neighbour would all meet in the null key
+    near = neighbours.filter("vecino IS NOT NULL").join(ents, "vecino", "left")
+    j = near.unionByName(neighbours.filter("vecino IS NULL").withColumn("entity_vecino", F.lit(None).cast("string"))).join(known, "name", "left")
     if classifier is not None:
         j = j.join(classifier.select("name", "entity_juez", "prob_juez"), "name", "left")
     else:

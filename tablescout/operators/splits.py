@@ -115,21 +115,44 @@ def fold_count(rows: DataFrame, entity: str, group: str, upper: int = 5) -> Data
 
 
 def balanced_folds(rows: DataFrame, group: str, k: int) -> DataFrame:
-    """Folds of near-equal row counts: groups by falling size, dealt in a snake.
+    """Folds of near-equal row counts: groups by falling size, each to the lightest fold (the first of equals).
 
-    Sizes repeat heavily, so ranks start from per-size totals instead of one
-    global sort; groups of one size are ordered by hash slices.
+    Groups of one size are ordered by hash. The rule is applied to the number of groups of each size, not to the groups: of groups of
+    size n a fold of load l takes those whose turn is at load l, l + n, l + 2n, ..., so the turns of all folds repeat in cycles
+    once the lighter ones have caught up. There are at most sqrt(2 rows) sizes, and at most k stretches of cycles for each.
     """
     sizes = cut_lineage(rows.groupBy(group).agg(F.count("*").alias("n")).withColumn("_h", hash32(F.col(group))))
     ranked = global_rank(sizes, ["n"], "_h", group, "_local")
-    per = sizes.groupBy("n").agg(F.count("*").alias("_c"))
-    # distinct group sizes are few: sum of sizes is the row count, so at most sqrt(2 rows)
-    larger = W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, -1)
-    start = per.select("n", F.coalesce(F.sum("_c").over(larger), F.lit(0)).alias("_b"))
-    pos = F.col("_local") + F.col("_b") - 1
-    lap, spot = F.floor(pos / k), F.pmod(pos, F.lit(k))
-    fold = F.when(F.pmod(lap, F.lit(2)) == 0, spot).otherwise(k - 1 - spot)
-    return ranked.join(start, "n").select(group, "n", fold.cast("int").alias("fold"))
+    per = sizes.groupBy("n").agg(F.count("*").alias("c")).orderBy(F.desc("n")).collect()  # at most sqrt(2 rows)
+    turns = rows.sparkSession.createDataFrame(fold_turns([(r.n, r.c) for r in per], k), "n long, _first long, _last long, _order array<int>")
+    turns = F.broadcast(turns) if len(per) * k <= 100_000 else turns
+    at = F.col("_local") - 1
+    met = ranked.join(turns, "n").filter((at >= F.col("_first")) & (at < F.col("_last")))
+    return met.select(group, "n", F.element_at("_order", (F.pmod(at - F.col("_first"), F.size("_order")) + 1).cast("int")).alias("fold"))
+
+
+def fold_turns(histogram: list[tuple[int, int]], k: int) -> list[tuple[int, int, int, list[int]]]:
+    """(size, first, last, folds): groups number first to last - 1 of this size go to these folds in turn.
+
+    `histogram`: (size, number of groups) by falling size.
+    """
+    loads, out = [0] * k, []
+    for n, count in histogram:
+        low = min(loads)
+        cycle = [(x - low) // n for x in loads]  # the cycle a fold joins in
+        order = sorted(range(k), key=lambda f: ((loads[f] - low) % n, f))
+        at, c = 0, 0
+        while at < count:
+            here = [f for f in order if cycle[f] <= c]
+            later = [x for x in cycle if x > c]
+            room = (min(later) - c) * len(here) if later else count - at
+            take = min(room, count - at)
+            out.append((n, at, at + take, here))
+            for turn, f in enumerate(here):
+                loads[f] += n * (take // len(here) + (turn < take % len(here)))
+            at += take
+            c = min(later, default=c)
+    return out
 
 
 def fold_training_rows(real: DataFrame, synthetic: DataFrame, fold: int, group: str,

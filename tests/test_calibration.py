@@ -67,3 +67,19 @@ def test_modes_have_one_winner(spark):
     out = {r["mode"]: r for r in E.compare_modes(df, "mode", "p", "y", contest=F.endswith("mode", F.lit("/x"))).collect()}
     assert [m for m, r in out.items() if r.ganador] == ["A/x"] and out["A/x"].f2max == 1.0 and out["A/x"].thr_f2 == 0.2
     assert E.compare_modes(df.limit(0), "mode", "p", "y").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_fold_turns_follow_the_lightest_fold(seed):
+    from tablescout.operators.splits import fold_turns
+    rng = np.random.default_rng(seed)
+    k = int(rng.integers(1, 8))
+    sizes = sorted(rng.integers(1, [4, 30, 2000][seed % 3], rng.integers(1, 200)).tolist(), reverse=True)
+    loads, want = [0] * k, []
+    for n in sizes:
+        f = loads.index(min(loads))
+        loads[f] += n
+        want.append((n, f))
+    histogram = [(n, sizes.count(n)) for n in sorted(set(sizes), reverse=True)]
+    got = [(n, order[t % len(order)]) for n, first, last, order in fold_turns(histogram, k) for t in range(last - first)]
+    assert got == want
