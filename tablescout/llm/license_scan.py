@@ -100,7 +100,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = NOTICES, share: flo
     any_known = sorted({h for r in every.select("set").collect() for h in r["set"]})  # of the templates
     # every size class reads the documents with a template's shingle: they are written once; in no other document does a window match
     d = d.select("_i", "_h", "doc_id", F.size("words").alias("n"), shingle_hashes(F.col("words")).alias("hashes"))
-    d = cut_lineage(d.filter(F.arrays_overlap("hashes", F.array(*map(F.lit, any_known)))))
+    # a filter would be pushed below the hashes and make them once more for each word: other documents lose their array instead
+    d = cut_lineage(d.withColumn("hashes", F.when(F.arrays_overlap("hashes", F.array(*map(F.lit, any_known))), F.col("hashes")))).filter("hashes IS NOT NULL")
     parts = []
     for length in sorted({size_class(len(words_of(t))) for _, t in templates}):
         own = [n for n, (_, t) in enumerate(templates) if size_class(len(words_of(t))) == length]
