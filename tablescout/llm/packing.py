@@ -26,53 +26,76 @@ from tablescout.session import cut_lineage
 
 CLASSES = 256  # length classes of the patterns
 PARTS = 2  # documents of a pattern at most
-CACHED_WORDS = 400_000  # of a worker; beyond it the cache starts anew
+CACHED_WORDS = 300_000  # of each of the two generations of a worker's cache
 BUCKET_ROWS = 50_000
 
 
 def _encoder(path: str):
     """bytes -> ids as little-endian 32-bit integers. White space ends a word for this kind of tokenizer, so words are encoded once."""
-    import re
-    from tokenizers import Tokenizer
+    import gc
+    from tokenizers import Tokenizer, pre_tokenizers
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tok = Tokenizer.from_file(path)
-    cache: dict[bytes, bytes] = {}
-    tail = re.compile(rb"(.*[^\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e])([.,;:!?]+)", re.S)
+    tok, letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    # words of lower-case Latin letters are one piece in one normal form: no pattern and no normalizer has to look at them
+    letters.normalizer, letters.pre_tokenizer = None, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    young: dict[bytes, bytes] = {}
+    old: dict[bytes, bytes] = {}
 
     def ids(enc) -> bytes:
         return np.array(enc.ids, dtype="<u4").tobytes()
 
+    def store(words: list[bytes], data: bytes, counts: np.ndarray) -> None:
+        cut = [0, *(4 * np.cumsum(counts)).tolist()]
+        young.update(zip(words, map(data.__getitem__, map(slice, cut, cut[1:]))))
+
     def learn(words) -> None:
-        split, plain = [], []
+        split, need = [], set()
         for w in words:
-            m = tail.fullmatch(w)
+            core = w.rstrip(b".,;:!?")
             # letters and a mark are separate pieces; other ends may join the mark
-            if m and m[1].decode("utf-8", "replace")[-1:].isalpha():
-                split.append((w, m[1], m[2]))
+            if len(core) < len(w) and core.decode("utf-8", "replace")[-1:].lower()[-1:].isalpha():
+                mark = w[len(core):]
+                split.append((w, core, mark))
+                need.update((core, mark))
             else:
-                plain.append(w)
-        need = list({*plain, *(x for _, a, b in split for x in (a, b))}.difference(cache))
-        if need:  # all in one text; the offsets tell which ids are whose
-            strings = [w.decode("utf-8", "replace") for w in need]
-            enc = tok.encode(" ".join(strings), add_special_tokens=False)
-            first = np.cumsum([0, *(len(x) + 1 for x in strings)])
+                need.add(w)
+        need = [w for w in need if w not in young]
+        strings = [w.decode("utf-8", "replace").lower() for w in need]
+        latin = [x.isalpha() and max(x) < "\u0250" for x in strings]
+        plain, texts = [w for w, a in zip(need, latin) if a], [x for x, a in zip(strings, latin) if a]
+        if plain:
+            enc = letters.encode(texts, is_pretokenized=True, add_special_tokens=False)
+            store(plain, ids(enc), np.bincount(np.array(enc.word_ids, dtype=np.int64), minlength=len(plain)))
+        other = [w for w, a in zip(need, latin) if not a]
+        if other:  # all in one text; the offsets tell which ids are whose
+            texts = [w.decode("utf-8", "replace") for w in other]
+            enc = tok.encode(" ".join(texts), add_special_tokens=False)
+            first = np.cumsum([0, *(len(x) + 1 for x in texts)])
             owner = np.searchsorted(first, [a for a, _ in enc.offsets], side="right") - 1
-            cut = 4 * np.searchsorted(owner, np.arange(len(need) + 1))
-            data = ids(enc)
-            for w, a, b in zip(need, cut.tolist(), cut[1:].tolist()):
-                cache[w] = data[a:b]
+            store(other, ids(enc), np.bincount(owner, minlength=len(other)))
         for w, a, b in split:
-            cache[w] = cache[a] + cache[b]
+            young[w] = young[a] + young[b]
 
     def encode(texts: list[bytes]) -> list[bytes]:
+        gc.disable()  # what is made here refers to nothing; looking for cycles among so many objects costs more than the work
+        try:
+            return _encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(texts: list[bytes]) -> list[bytes]:
+        nonlocal young, old
+        if len(young) > CACHED_WORDS:  # words that come again move on, the others are forgotten
+            young, old = {}, young
         words = [None if b"<|" in t else t.lower().split() for t in texts]  # such texts may hold marks found before the split
-        new = set().union(*(w for w in words if w)).difference(cache)
-        if len(cache) + len(new) > CACHED_WORDS:
-            cache.clear()
-            new = set().union(*(w for w in words if w))
-        learn(new)
-        return [ids(tok.encode(t.decode("utf-8", "replace"), add_special_tokens=False)) if w is None else b"".join(map(cache.__getitem__, w))
-                for t, w in zip(texts, words)]
+        found = [None if w is None else list(map(young.get, w)) for w in words]
+        new = {w for ws, f in zip(words, found) if ws and None in f for w, x in zip(ws, f) if x is None}
+        again = {w: old[w] for w in new if w in old}
+        young.update(again)
+        learn(new.difference(again))
+        return [ids(tok.encode(t.decode("utf-8", "replace"), add_special_tokens=False)) if w is None
+                else b"".join([young[v] if x is None else x for v, x in zip(w, f)] if None in f else f)
+                for t, w, f in zip(texts, words, found)]
     return encode
 
 

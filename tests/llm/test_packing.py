@@ -51,3 +51,17 @@ def test_odd_rows(spark, rows):
     n = [len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows]
     assert sorted(r.length for r in out) == sorted(min(4096, x - s) for x in n for s in range(0, x, 4096))
     assert len({(r.sequence_id, r.offset) for r in out}) == len(out)
+
+
+def test_words_equal_the_tokenizer_whatever_they_hold(monkeypatch):
+    rng = np.random.default_rng(5)
+    marks = list("abzAZ019éÉßøÆıİªºµŉǆΩжЯ中かกิ'’-_.,;:!?\"()/<|>$") + ["e\u0301", "'s", "'LL", "n't", "\u00a0", "\u200d", "\U0001f600"]
+    texts = [" ".join("".join(rng.choice(marks, rng.integers(1, 7))) for _ in range(40)) for _ in range(60)]
+    texts += ["", " ", "<|endoftext|> a", "a" * 5000, "rethly. Rethly.! gestungä. ...", "I'm it's dogs' y'all ''t"]
+    tok = Tokenizer.from_file(tokenizer_path())
+    want = [np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    monkeypatch.setattr(packing, "CACHED_WORDS", 500)  # both generations turn over
+    encode = packing._encoder(tokenizer_path())
+    for _ in range(2):
+        got = [x for a in range(0, len(texts), 7) for x in encode([t.encode() for t in texts[a:a + 7]])]
+        assert [i for i, (a, b) in enumerate(zip(got, want)) if a != b] == []
