@@ -8,6 +8,8 @@ from checks import adapters as A, sqltext as S
 from checks.q_catalog import CAT, DEF, _deficit_rows
 from checks.registry import register
 from tablescout.functions import text as T, vocabulary as V
+from tablescout.operators.stages import scoring_bundle
+from tablescout.streaming import streams as ST
 from tablescout.operators import augment as AU, calibration as CA, catalog as C, evaluate as E, features as FT, labels as L, models as M, textsim as X
 from tablescout.operators.grouping import attach
 from tablescout.operators.splits import bucket
@@ -316,3 +318,32 @@ def _artefacts(s, d):
 
 
 register("s13_model_artefacts", _artefacts)
+
+
+def _bundled(s, d):
+    """Train both stages, calibrate the first out of fold, save them as one pipeline with its parameters, load it, score a batch and a stream."""
+    root, r = scratch_dir(s), _train_rows(s, d)
+    binary = M.fit_binary(r, **_small)
+    binary.calibrator = CA.fit_sigmoid(M.out_of_fold(r, 3, **_small).select("y", "oof_raw"))
+    entity = M.fit_entity(r.filter("entity IS NOT NULL"), **_small)
+    artefacts.save_model(scoring_bundle(binary, entity, 0.5), f"{root}/bundle")
+    loaded = artefacts.load_model(f"{root}/bundle")
+    A.pool(s, d).select(F.col("dataset").alias("tabla"), "name").distinct().repartition(4).write.parquet(f"{root}/in")
+    batch = ST.score_with_bundle(s.read.parquet(f"{root}/in"), loaded)
+    ST.run_available(ST.score_with_bundle(s.readStream.schema("tabla string, name string").parquet(f"{root}/in"), loaded), f"{root}/out", f"{root}/ckpt")
+    return batch, s.read.parquet(f"{root}/out")
+
+
+def _stream_equals_batch(s, d):
+    """Rows of the stream with what the rules say of them; `same` tells whether the batch gave the same row, `sound` whether the row is in itself."""
+    batch, stream = _bundled(s, d)
+    key = F.xxhash64("tabla", "name", "prob_pii", "pii", "entity", "prob_entity", "override_aplicado", "regex_match", "name_norm")
+    both = stream.withColumn("h", key).join(batch.select("tabla", "name", key.alias("hb")), ["tabla", "name"], "left")
+    sound = F.expr("prob_pii BETWEEN 0 AND 1 AND pii = (entity IS NOT NULL) AND pii = (prob_entity IS NOT NULL) AND (NOT override_aplicado OR (prob_entity < 0.5 AND entity = regex_match))")
+    return both.select("tabla", "name", "name_norm", "regex_match", F.coalesce(F.col("h") == F.col("hb"), F.lit(False)).alias("same"), sound.alias("sound"))
+
+
+register("t1_bundle_stream", _stream_equals_batch,
+         f"""WITH {A.POOL}, n AS (SELECT DISTINCT dataset AS tabla, name FROM pool), m AS (SELECT *, {S.matches('name')} AS ms FROM n)
+SELECT tabla, name, {S.name3('name')} AS name_norm, {S.summary('ms')} AS regex_match, true AS same, true AS sound FROM m""")
+register("s13_scoring_bundle", lambda s, d: _bundled(s, d)[0].select("tabla", "name", "pii", "prob_pii", "entity", "prob_entity", "override_aplicado"))

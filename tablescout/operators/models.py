@@ -10,22 +10,23 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
-from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, IndexToString, Normalizer,
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer,
                                 StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablescout.functions import rules as R, scores as S, text as T, vocabulary as V
+from tablescout.functions import vocabulary as V
 from tablescout.operators import evaluate as E
 from tablescout.operators.calibration import Sigmoid, calibrated_over_folds, fit_sigmoid
 from tablescout.operators.features import balanced_weights, imbalance_weight
 from tablescout.operators.grouping import attach
 from tablescout.operators.splits import fold_of
-from tablescout.operators.textsim import char_wb_grams, word_tokens
+from tablescout.operators.stages import scoring_bundle
+from tablescout.operators.textsim import char_wb_grams, term_counts, vocabulary, word_tokens
 from tablescout.session import cut_lineage
 
 
@@ -34,11 +35,15 @@ def with_terms(df: DataFrame, text: str, lo: int = 2, hi: int = 5) -> DataFrame:
 
 
 def fit_text_block(df: DataFrame, terms: str, out: str, min_df: int, max_features: int) -> list:
-    """Fitted count -> (idf + 1) -> unit length stages for one term column."""
-    counter = CountVectorizer(inputCol=terms, outputCol=f"{out}_tf", minDF=float(min_df), vocabSize=max_features).fit(df)
-    idf = IDF(inputCol=f"{out}_tf", outputCol=f"{out}_idf").fit(counter.transform(df)).idf
-    scale = ElementwiseProduct(scalingVec=Vectors.dense([float(x) + 1.0 for x in idf.toArray()]),
-                               inputCol=f"{out}_tf", outputCol=f"{out}_w")
+    """Fitted count -> idf -> unit length stages for one term column.
+
+    The vocabulary is that of `textsim`: most frequent terms first, equal ones by name, so that its edge does not follow the partitions.
+    """
+    counts = term_counts(df.withColumn("_key", F.monotonically_increasing_id()), "_key", F.col(terms))
+    # at most max_features rows
+    known = sorted(vocabulary(counts, "_key", df, min_df, max_features).collect(), key=lambda r: (-r.df, r.term))
+    counter = CountVectorizerModel.from_vocabulary([r.term for r in known], inputCol=terms, outputCol=f"{out}_tf")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense([r.idf for r in known]), inputCol=f"{out}_tf", outputCol=f"{out}_w")
     return [counter, scale, Normalizer(p=2.0, inputCol=f"{out}_w", outputCol=out)]
 
 
@@ -229,13 +234,6 @@ def score_two_stages(names: DataFrame, binary: BinaryModel, entity: EntityModel,
     the same rows, so the input is scanned and its terms are made once; what
     stage B says of rows that are not flagged is dropped.
     """
-    base = with_terms(names.withColumn("name_norm", T.normalize_name("name")), "name_norm")
-    a = binary.score(base, "_p").withColumn("pii", F.col("_p") >= threshold)
-    where = lambda c: F.when(F.col("pii"), F.col(c))
-    both = entity.predict(a).withColumn("entity_ml", where("entity_ml")).withColumn("prob_entity", F.bround(where("prob_entity"), 4))
-    over = S.rule_override(F.col("entity_ml"), F.col("prob_entity"), F.col("_m"), entity_threshold)
-    o = both.withColumn("_m", R.all_matches(F.col("name"))).withColumn("_o", F.when(F.col("pii"), over))
-    return o.select("tabla", F.col("name").alias("columna"), "pii", F.bround("_p", 4).alias("prob_pii"),
-                    F.col("_o.entity_final").alias("entity"), "prob_entity",
-                    F.coalesce("_o.override_aplicado", F.lit(False)).alias("override_aplicado"),
-                    F.col("_o.regex_match").alias("regex_match"), "name_norm")
+    o = scoring_bundle(binary, entity, threshold, entity_threshold).transform(names)
+    return o.select("tabla", F.col("name").alias("columna"), "pii", "prob_pii", "entity", "prob_entity", "override_aplicado",
+                    "regex_match", "name_norm")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,6 +22,11 @@ def score_names(names: DataFrame, name: str = "name", prob: str = "prob") -> Dat
                     R.match_summary(F.col("_m")).alias("regex_match"), "pii", "prob_pii", "reason")
 
 
+def score_with_bundle(names: DataFrame, bundle: PipelineModel) -> DataFrame:
+    """Both stages of a saved bundle (`stages.scoring_bundle`) on a batch or a stream; one scan, no state."""
+    return bundle.transform(names)
+
+
 def drift_windows(scored: DataFrame, ts: str = "ts", prob: str = "prob", entity: str = "entity",
                   window: str = "1 day", review_below: float = 0.5) -> DataFrame:
     """Volume, mean probability, share without entity and share to review per window."""
