@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import adapters as A, sqltext as S
 from checks.q_catalog import BIN, _bin
 from checks.q_names import DECIDED
+from tablescout.operators import labels as LB
 from checks.registry import register
 from tablescout.functions import vocabulary as V
 from tablescout.operators import evaluate as E, features as FT, splits as SP
@@ -110,6 +111,26 @@ register("e12_expected_failures", _expected,
 ex AS (SELECT DISTINCT name, CASE WHEN length(name) % 2 = 0 THEN 'rfc' ELSE 'modelo' END AS expected_entity FROM coded)
 SELECT ex.name, ex.expected_entity FROM ex WHERE NOT EXISTS (SELECT 1 FROM got WHERE got.name = ex.name AND got.e = ex.expected_entity)""")
 
+
+def _regression(s, d):
+    """Decisions of the coded names held against an entity list with wrong entries and a list of names that must stay unflagged."""
+    from tablescout.operators import decisions as DE, labels as L
+    r = DE.five_level_decision(DE.with_rule_levels(DE.with_dotted_keys(A.coded(s, d)))).select(
+        "name", "pii", F.when(F.col("pii"), F.coalesce("prior_entity", F.lit("modelo"))).alias("entity"))
+    names, third = A.coded(s, d).select("name").distinct(), F.length("name") % 3
+    expected = names.filter(third != 0).select("name", F.when(third == 1, "rfc").otherwise("modelo").alias("expected_entity"))
+    return L.regression_report(r, expected, names.filter(third == 0).select("name"))
+
+
+REG = f"""{DECIDED}, got AS (SELECT name, bool_or(pii) AS got_pii, coalesce(list_sort(list(DISTINCT coalesce(prior_entity, 'modelo')) FILTER (WHERE pii)), []) AS got FROM decided GROUP BY 1),
+ls AS (SELECT DISTINCT name, CASE length(name) % 3 WHEN 1 THEN 'rfc' WHEN 2 THEN 'modelo' END AS expected_entity FROM coded),
+rp AS (SELECT name, expected_entity, got_pii, array_to_string(got, ',') AS got_entity, CASE WHEN expected_entity IS NULL THEN CASE WHEN got_pii THEN 'falso_positivo' ELSE 'ok' END
+ WHEN NOT got_pii THEN 'no_marcado' WHEN NOT list_contains(got, expected_entity) THEN 'entidad' ELSE 'ok' END AS kind FROM ls JOIN got USING (name))"""
+register("e12_regression_report", _regression, f"{REG} SELECT * FROM rp")
+register("e12_regression_passes", lambda s, d: LB.regression_passes(_regression(s, d)),
+         f"""{REG} SELECT count(*) AS n, count(*) FILTER (WHERE kind = 'no_marcado') AS no_marcado, count(*) FILTER (WHERE kind = 'entidad') AS entidad,
+ count(*) FILTER (WHERE kind = 'falso_positivo') AS falso_positivo, count(*) FILTER (WHERE kind <> 'ok') = 0 AS pass FROM rp""")
+
 # ---- splits ------------------------------------------------------------------------
 GRP = f"""{BIN}, gt AS (SELECT group_id, CAST(avg(pii) >= 0.5 AS INTEGER) AS majority, {S.h32('group_id')} AS h FROM bin GROUP BY 1)"""
 SPLIT = f"""{GRP}, sp AS (SELECT group_id, majority, CASE WHEN row_number() OVER (PARTITION BY majority ORDER BY h, group_id) <= round(count(*) OVER (PARTITION BY majority) * 0.2) THEN 'holdout' ELSE 'train' END AS split FROM gt)"""

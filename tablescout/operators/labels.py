@@ -234,6 +234,34 @@ def expected_failures(result: DataFrame, expected: DataFrame) -> DataFrame:
     return expected.join(got, ["name", "expected_entity"], "left_anti")
 
 
+def regression_report(result: DataFrame, expected: DataFrame, forbidden: DataFrame) -> DataFrame:
+    """One row per listed name: what was expected, what the result says, and which kind of failure it is.
+
+    `result`: name, pii, entity, any number of rows a name; `expected`: name, expected_entity; `forbidden`: names that must stay
+    unflagged. kind is `ok`, `no_marcado` (expected, but no row of the name is flagged or there is none), `entidad` (flagged, but no
+    flagged row has the entity) or `falso_positivo` (forbidden, but flagged). A null name counts as the empty one. Result rows of other
+    names end at the join with the lists before anything is grouped, so a name that fills the result costs one combined group.
+    """
+    key = F.coalesce(F.col("name"), F.lit("")).alias("name")
+    listed = (expected.select(key, F.coalesce("expected_entity", F.lit("")).alias("expected_entity"))
+              .unionByName(forbidden.select(key, F.lit(None).cast("string").alias("expected_entity"))).distinct())
+    seen = (result.select(key, F.coalesce("pii", F.lit(False)).alias("pii"), F.coalesce("entity", F.lit("")).alias("entity"))
+            .groupBy("name", "entity").agg(F.max("pii").alias("pii"))
+            .join(listed.select("name").distinct(), "name", "left_semi"))
+    got = seen.groupBy("name").agg(F.max("pii").alias("got_pii"), F.array_sort(F.collect_set(F.when(F.col("pii"), F.col("entity")))).alias("got"))
+    both = listed.join(got, "name", "left").withColumn("got_pii", F.coalesce("got_pii", F.lit(False)))
+    kind = (F.when(F.col("expected_entity").isNull(), F.when(F.col("got_pii"), "falso_positivo").otherwise("ok"))
+            .when(~F.col("got_pii"), "no_marcado").when(~F.array_contains("got", F.col("expected_entity")), "entidad").otherwise("ok"))
+    return both.select("name", "expected_entity", "got_pii", F.coalesce(F.array_join("got", ","), F.lit("")).alias("got_entity"), kind.alias("kind"))
+
+
+def regression_passes(report: DataFrame) -> DataFrame:
+    """One row: names checked, failures of each kind, and whether there is none."""
+    n = lambda k: F.count(F.when(F.col("kind") == k, 1)).alias(k)
+    return report.agg(F.count("*").alias("n"), *[n(k) for k in ("no_marcado", "entidad", "falso_positivo")],
+                      (F.count(F.when(F.col("kind") != "ok", 1)) == 0).alias("pass"))
+
+
 def taxonomy(names: DataFrame, expanded: str = "exp", cutoff: float = 80.0) -> DataFrame:
     """(name, entity, prob_entity, metodo): ordered patterns on the expanded name,
     else the example with the best token overlap at or above the cut-off.
