@@ -69,10 +69,11 @@ register("w6_cluster_exemplar", lambda s, d: C.exemplars(_raw_words(s, d).select
 def _deficit_rows(s, d):
     g = A.gold(s, d)
     extra = A.coded(s, d).select("name", F.col("entity_ml").alias("entity"))
-    return g.select("name", "entity").unionByName(extra).withColumn("name_norm", T.normalize_name("name")).filter("name_norm <> ''")
+    few = A.table(s, d, "region").select(F.col("r_name").alias("name"), F.lit("zona").alias("entity"))  # an entity of few forms at every scale
+    return g.select("name", "entity").unionByName(extra).unionByName(few).withColumn("name_norm", T.normalize_name("name")).filter("name_norm <> ''")
 
 
-DEF = f"dr AS (SELECT * FROM (SELECT name, entity, {S.name3('name')} AS name_norm FROM (SELECT name, entity FROM gold UNION ALL SELECT name, entity_ml FROM coded)) WHERE name_norm <> '')"
+DEF = f"dr AS (SELECT * FROM (SELECT name, entity, {S.name3('name')} AS name_norm FROM (SELECT name, entity FROM gold UNION ALL SELECT name, entity_ml FROM coded UNION ALL SELECT r_name, 'zona' FROM region)) WHERE name_norm <> '')"
 register("a7_deficit_table", lambda s, d: C.deficit_table(_deficit_rows(s, d)),
          f"""WITH {A.GOLD}, {A.CODED}, {DEF}, g AS (SELECT entity, count(*) AS n_total, count(DISTINCT name_norm) AS n_distinto_norm, {S.tier('entity')} AS tier FROM dr WHERE entity IS NOT NULL GROUP BY entity)
 SELECT entity, n_total, n_distinto_norm, tier, CAST(CASE WHEN tier = 'tier1_sin_sinteticos' THEN 0 ELSE greatest(30 - n_distinto_norm, 0) END AS BIGINT) AS need_30 FROM g""")
