@@ -1,9 +1,10 @@
 """Exact top-k inner products by Fagin's threshold algorithm.
 
-Every block of candidates keeps one list of its vectors for each dimension, sorted by that component. Sorted access goes down
-all lists in step, from both ends (the end depends on the sign of the query's component); each vector that turns up is scored
-in full. The bound is the best score of a vector that has not turned up, put together from the last components read. A query
-stops when its bound is below its k-th score: then no unseen vector can enter, ties included.
+Every block of candidates keeps one list of its vectors for each dimension, sorted by that component, made once for all queries that
+meet it. A query reads each list from the end that the sign of its component selects (lists of a zero component are not read), a few
+places further in each step; each vector that turns up is scored in full. The bound is the best score of a vector that has not turned
+up, put together from the last components read. A query stops when its bound is below its k-th score: then no unseen vector can enter,
+ties included. Each query first meets one block; its k-th score there is the threshold it brings to all others.
 
 Queries and candidates meet block by block; equal vectors are first merged to their k + 1 smallest ids, which loses nothing.
 
@@ -18,49 +19,62 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-QUERY_BLOCK, CANDIDATE_BLOCK = 512, 8192  # vectors of a block
+from tablescout.session import cut_lineage
 
+QUERY_BLOCK, CANDIDATE_BLOCK = 4096, 8192  # vectors of a block
+FIRST_STEP, GROWTH = 4, 1.25  # places read of each list at first, and how the depth grows
 
-def best_of_block(q: np.ndarray, c: np.ndarray, ids: list[np.ndarray], own: np.ndarray, k: int):
-    """For each row of q the k best (score, id) among the vectors of c. ids: the ids that share a vector, ascending."""
+
+def best_of_block(q: np.ndarray, c: np.ndarray, ids: list[np.ndarray], own: np.ndarray, k: int, floors: list | None = None):
+    """For each row of q the k best (score, id) among the vectors of c, and how many vectors were scored in all.
+
+    ids: the ids that share a vector, ascending. floors: a score for each query below which nothing is wanted, or None.
+    """
     n, dim = c.shape
     exact = n and dim and float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * dim < 2**53
     kind = np.float64 if exact or not dim else object
     q, c = q.astype(kind), c.astype(kind)
     order = np.argsort(c, axis=0, kind="stable")
-    rank = np.empty((n, dim), dtype=np.int64)
-    for d in range(dim):
-        rank[order[:, d], d] = np.arange(n)
-    depth = np.minimum(rank, n - 1 - rank).min(axis=1) if dim else np.zeros(n, dtype=np.int64)
-    by_depth = np.argsort(depth, kind="stable")
     lists = np.take_along_axis(c, order, axis=0)
+    down, falling = order[::-1], lists[::-1]
     first = np.array([x[0] for x in ids], dtype=np.int64)
-    best: list[list[tuple]] = [[] for _ in range(len(q))]
-    active, seen, reach = np.arange(len(q)), 0, min(n, max(64, n // 16))
-    while len(active) and seen < n:
-        stop = int(np.searchsorted(depth[by_depth], reach, side="left"))
-        new = by_depth[seen:stop]
-        scores = q[active] @ c[new].T if dim else np.zeros((len(active), len(new)))
-        for row, a in enumerate(active):
-            s = scores[row]
-            if len(s) > k + 1:  # the query's own vector may be among them; all ties of the last place stay
-                s_cut = np.partition(s, len(s) - k - 1)[len(s) - k - 1] if kind is np.float64 else np.sort(s)[len(s) - k - 1]
-                if len(best[a]) == k:
-                    s_cut = max(s_cut, best[a][-1][0])
-                at = np.flatnonzero(s >= s_cut)
-                if len(at) > 4 * k:  # many ties: the smallest ids suffice
-                    at = at[np.lexsort((first[new[at]], -s[at].astype(np.float64)))[: k + 1]]
-            else:
-                at = np.arange(len(s))
-            found = [(s[j], i) for j in at for i in ids[new[j]] if i != own[a]]
-            best[a] = sorted(best[a] + found, key=lambda x: (-x[0], x[1]))[:k]
-        seen = stop
-        if seen < n and dim:
-            low, high = lists[min(reach, n) - 1], lists[n - min(reach, n)]
-            bound = np.maximum(q[active], 0) @ high + np.minimum(q[active], 0) @ low
-            active = np.array([a for a, b in zip(active, bound) if len(best[a]) < k or b >= best[a][-1][0]], dtype=np.int64)
-        reach = min(n, reach * 2)
-    return best
+    best, scored = [], 0
+    for a, v in enumerate(q):
+        up, low = np.flatnonzero(v > 0), np.flatnonzero(v < 0)
+        floor = floors[a] if floors is not None else None
+        seen, top, reach = np.zeros(n, dtype=bool), [], 0
+        while reach < n:
+            stop = min(n, max(FIRST_STEP, int(reach * GROWTH) + 1))
+            if len(up) + len(low):
+                turned = np.concatenate([down[reach:stop, up].ravel(), order[reach:stop, low].ravel()])
+                new = np.unique(turned[~seen[turned]])
+            else:  # all scores are zero
+                new, stop = np.arange(n), n
+            seen[new], reach = True, stop
+            scored += len(new)
+            s = c[new] @ v if dim else np.zeros(len(new))
+            top = _merged(top, s, new, ids, first, own[a], k, floor)
+            limit = top[-1][0] if len(top) == k else floor
+            bound = (v[up] * falling[stop - 1, up]).sum() + (v[low] * lists[stop - 1, low]).sum()
+            if (limit is not None and bound < limit) or seen.all():
+                break
+        best.append(top)
+    return best, scored
+
+
+def _merged(top: list[tuple], s: np.ndarray, new: np.ndarray, ids, first: np.ndarray, own: int, k: int, floor) -> list[tuple]:
+    """The k best of `top` and the vectors `new` of scores `s`, ties to the smaller id."""
+    at = np.arange(len(s))
+    limit = top[-1][0] if len(top) == k else floor
+    if limit is not None:
+        at = at[s >= limit]
+    if len(at) > k + 1:  # the query's own vector may be among them; all ties of the last place stay
+        cut = np.sort(s[at])[len(at) - k - 1]
+        at = at[s[at] >= cut]
+    if len(at) > 4 * k:  # many ties: the smallest ids suffice
+        at = at[np.lexsort((first[new[at]], -s[at].astype(np.float64)))[: k + 1]]
+    found = [(s[j], i) for j in at for i in ids[new[j]] if i != own]
+    return sorted(top + found, key=lambda x: (-x[0], x[1]))[:k] if found else top
 
 
 def _search(k: int):
@@ -71,7 +85,7 @@ def _search(k: int):
         flat = lambda t: np.asarray(t["v"].combine_chunks().flatten(), dtype=np.int64).reshape(t.num_rows, -1)
         own = np.asarray(left["id"])
         ids = [np.sort(np.array(x, dtype=np.int64)) for x in right["ids"].to_pylist()]
-        best = best_of_block(flat(left), flat(right), ids, own, k)
+        best, _ = best_of_block(flat(left), flat(right), ids, own, k, left["floor"].to_pylist())
         rows = [(int(o), int(i), int(s)) for o, b in zip(own, best) for s, i in b]
         return pa.Table.from_arrays([pa.array(list(x), pa.int64()) for x in zip(*rows)] if rows else [pa.array([], pa.int64())] * 3, schema=schema)
     return run
@@ -92,7 +106,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     qb, cb = max(1, -(-n["asks"] // QUERY_BLOCK)), max(1, -(-n["all"] // CANDIDATE_BLOCK))
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     asks = rows.filter("asks").select(F.pmod(F.xxhash64("id"), F.lit(qb)).cast("int").alias("q"), every(cb).alias("c"), F.size("v").alias("dim"), "id", "v")
+    home = F.col("c") == F.pmod("q", F.lit(cb))  # each block of queries starts at one block of candidates
     pool = merged.select(every(qb).alias("q"), F.pmod(F.xxhash64("v"), F.lit(cb)).cast("int").alias("c"), F.size("v").alias("dim"), "ids", "v")
-    found = asks.groupBy("q", "c", "dim").cogroup(pool.groupBy("q", "c", "dim")).applyInArrow(_search(k), "query_id long, vec_id long, score long")
+    meet = lambda left: left.groupBy("q", "c", "dim").cogroup(pool.groupBy("q", "c", "dim")).applyInArrow(
+        _search(k), "query_id long, vec_id long, score long")
+    found = meet(asks.filter(home).withColumn("floor", F.lit(None).cast("long")))
+    if cb > 1:
+        found = cut_lineage(found)
+        kth = found.groupBy(F.col("query_id").alias("id")).agg(F.when(F.countDistinct("vec_id") >= k, F.min("score")).alias("floor"))
+        found = found.union(meet(asks.filter(~home).join(kth, "id", "left")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.distinct().withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
