@@ -114,6 +114,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     if cb > 1:
         found = cut_lineage(found)
         kth = found.groupBy(F.col("query_id").alias("id")).agg(F.when(F.countDistinct("vec_id") >= k, F.min("score")).alias("floor"))
-        found = found.union(meet(asks.filter(~home).join(kth, "id", "left")))
+        others = asks.filter(~home).join(kth, "id", "left").select("q", "c", "dim", "id", "v", "floor")
+        found = found.union(meet(others.toDF(*others.columns)))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.distinct().withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
