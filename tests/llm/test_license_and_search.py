@@ -80,19 +80,3 @@ def test_license_edges_and_recall(spark):
     assert {(n, name) for n, (name, _) in enumerate(license_scan.NOTICES * 12)} <= got
     assert {(None, "MIT"), (1002, "MIT")} <= got and not {i for i, _ in got} & {1000, 1001, 1003}
     assert license_scan.scan(df.limit(0)).count() == 0
-
-
-def test_bound_stops_queries_on_skewed_vectors():
-    rng = np.random.default_rng(3)
-    n, k = 4000, 10
-    c = (rng.standard_normal((n, 6)) * 60 / (1 + np.arange(n))[:, None] ** 0.7 * 64).astype(np.int64)
-    q = rng.integers(-60, 60, (30, 6))
-    q[0] = 0
-    ids, own = [np.array([i]) for i in range(n)], np.full(len(q), -1)
-    want = [sorted(((int(s), i) for i, s in enumerate(c @ v)), key=lambda x: (-x[0], x[1]))[:k] for v in q]
-    best, scored = topk.best_of_block(q, c, ids, own, k)
-    assert [[(int(s), int(i)) for s, i in b] for b in best] == want
-    assert scored < 0.2 * n * len(q)
-    # the k-th score of another block as threshold: nothing that reaches it is lost, and less is scored
-    again, fewer = topk.best_of_block(q, c, ids, own, k, [w[2][0] for w in want])
-    assert [[x for x in b if x[0] >= w[2][0]][:3] for b, w in zip(again, want)] == [w[:3] for w in want] and fewer <= scored
