@@ -11,7 +11,7 @@ from tablescout.functions import rules as R, text as T, vocabulary as V
 from tablescout.operators import catalog as C, decisions as DE, labels as L, splits as SP
 from tablescout.plans import flows
 from tablescout.session import scratch_dir
-from tablescout.sources import files, registry as REG, schema_scan, tables
+from tablescout.sources import files, headers, registry as REG, schema_scan, tables
 
 TRUE_W = "pii IN ('TRUE')"
 CAT = f"""cat AS (SELECT name, count(*) AS n_rows, CAST(sum(CASE WHEN pii = 'TRUE' THEN 1 ELSE 0 END) AS BIGINT) AS n_true FROM @SRC@ WHERE name IS NOT NULL GROUP BY name),
@@ -339,14 +339,16 @@ COLS = {"region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name",
         "events": ["event_id", "ts", "user_id", "event_type", "value", "props"], "documents": ["doc_id", "text", "lang", "source", "n_chars"], "embeddings": ["vec_id", "embedding", "label"],
         "pages": ["page_id", "url", "html"], "benchmark": ["item_id", "text"], "labels": ["doc_id", "quality", "toxic"], "conversations": ["conv_id", "turn", "role", "text"]}
 SCAN = " UNION ALL ".join(f"SELECT {S.q(t)} AS source_file, {S.q(c)} AS name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(*) > count({c}) AS accepts_null FROM {t}" for t, cs in COLS.items() for c in cs)
+_paths = lambda d: {t: f"{d}/{t}.parquet" for t in A.TABLES}
 _all = lambda s, d: {t: A.table(s, d, t) for t in A.TABLES}
 TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "FLOAT": "float", "FLOAT[]": "array<float>", "DATE": "date", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
 TYPE = lambda c: "CASE typeof(any_value(" + c + ")) " + " ".join(f"WHEN {S.q(a)} THEN {S.q(b)}" for a, b in TYPES.items()) + f" ELSE lower(typeof(any_value({c}))) END"
 HEADERS = " UNION ALL ".join(f"SELECT {S.q(t)} AS source_file, {S.q(c)} AS name, {S.q(t)} AS dataset, {TYPE(c)} AS type, count(*) AS n_rows FROM {t}" for t, cs in COLS.items() for c in cs)
 register("s4_header_scan", lambda s, d: schema_scan.table_headers(_all(s, d)), HEADERS)
+register("s4_header_source", lambda s, d: headers.scan_headers(s, _paths(d), group=4), HEADERS)
 register("s4_schema_scan", lambda s, d: schema_scan.profile_columns(_all(s, d)), SCAN)
 FLAG = f"SELECT source_file, name, dataset, type, n_rows, {S.name3('name')} AS name_norm, {S.first_match('name')} AS entity, {S.summary(S.matches('name'))} AS regex_match, len({S.matches('name')}) > 0 AS pii FROM ({HEADERS})"
-register("personal_columns_report", lambda s, d: flows.personal_columns(_all(s, d)), FLAG)
+register("personal_columns_report", lambda s, d: flows.personal_columns_of_files(s, _paths(d)), FLAG)
 register("s5_alias_resolution", lambda s, d: tables.resolve_aliases(A.table(s, d, "documents").select(F.col("source").alias("dataset"), F.col("lang").alias("columna"), "doc_id"))
          .groupBy("tabla", "name").agg(F.count("*").alias("n")), "SELECT source AS tabla, lang AS name, count(*) AS n FROM documents GROUP BY 1, 2")
 

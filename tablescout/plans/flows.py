@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablescout.functions import rules as R, text as T, vocabulary as V
 from tablescout.operators import catalog as C, decisions as X, labels as L, lifecycle as LC, retention as RT
+from tablescout.sources.headers import scan_headers
 from tablescout.sources.schema_scan import table_headers
 
 
@@ -23,6 +24,11 @@ def personal_columns(tables: dict[str, DataFrame]) -> DataFrame:
     return scan_report(table_headers(tables))
 
 
+def personal_columns_of_files(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> DataFrame:
+    """The same over files: headers are read by tasks, one plan node for any number of paths."""
+    return scan_report(scan_headers(spark, paths, fmt))
+
+
 def transfer_labels(pool: DataFrame, gold: DataFrame, floor: float = 0.5, complete: bool = True) -> DataFrame:
     """Catalogue both sides, match names, apply the label rule, return every pool row."""
     pool_keys = C.key_rollup(C.name_catalog(pool)).filter("key <> ''")
