@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablescout.functions import text as T
+from tablescout.functions.ratios import weighted_ratio
 from tablescout.operators.grouping import attach, best_row, top_k
 from tablescout.session import Rounds, cut_lineage
 
@@ -329,6 +330,20 @@ def token_overlap(names: DataFrame, dictionary: DataFrame, name: str, entry: str
         name, F.round(F.coalesce("s", F.lit(0.0)), 6).alias("fuzzy_score"))
 
 
+def best_weighted_ratio(names: DataFrame, dictionary: DataFrame, name: str, entry: str) -> DataFrame:
+    """Highest weighted ratio (0-100) of each distinct name, in its base form, against a dictionary of stated size (a top-n list).
+
+    The list is attached as one row and walked once for each distinct base form; nulls and names without a word score 0. Few bytes
+    mean much work here, so the forms are dealt to a fixed number of tasks, which adaptive execution leaves alone.
+    """
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    q = names.select(name, T.base_entity(F.col(name)).alias("base")).distinct()
+    entries = dictionary.agg(F.sort_array(F.collect_set(entry)).alias("entries"))
+    best = F.aggregate("entries", F.lit(0.0), lambda s, e: F.when(s >= 100, s).otherwise(F.greatest(s, weighted_ratio(F.col("base"), e))))
+    scored = attach(q.select("base").distinct().filter("base <> ''").repartition(parts, "base"), entries).select("base", best.alias("s"))
+    return q.join(scored, "base", "left").select(name, F.round(F.coalesce("s", F.lit(0.0)), 6).alias("fuzzy_score"))
+
+
 def edit_ratio(a: Column, b: Column) -> Column:
     """Levenshtein similarity on a 0-100 scale."""
     longest = F.greatest(F.length(a), F.length(b))

@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tablescout.functions import ratios as R
+from tablescout.functions import ratios as R, text as T
+from tablescout.operators.textsim import best_weighted_ratio
 
 
 def common(a, b):
@@ -78,3 +79,15 @@ def test_known_values(spark):
     assert one("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == pytest.approx(95.0)
     assert one("abcd", "xxabcdxxxx") == pytest.approx(90.0)
     assert spark.range(1).select(R.weighted_ratio(F.lit(None).cast("string"), F.lit("a")).alias("s")).first().s is None
+
+
+def test_dictionary(spark):
+    names = ["numero_documento", "DOC cliente", "telefono2", "xyz", "", None, "tel", "fecha de nacimiento", "tel"]
+    entries = ["numero documento", "telefono", "nombre cliente", "fecha"]
+    d = spark.createDataFrame([(n,) for n in names], "name string")
+    base = {r.name: r.b for r in d.select("name", T.base_entity("name").alias("b")).collect()}
+    got = best_weighted_ratio(d, spark.createDataFrame([(e,) for e in entries], "e string"), "name", "e").collect()
+    assert len(got) == len(set(names))
+    for r in got:
+        assert r.fuzzy_score == pytest.approx(max(weighted(base[r.name] or "", e) for e in entries), abs=1e-6), r.name
+    assert best_weighted_ratio(d, spark.createDataFrame([], "e string"), "name", "e").agg(F.max("fuzzy_score")).first()[0] == 0
